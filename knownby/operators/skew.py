@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is split once it owns more than 1/HOT_PARTS of all rows. At most HOT_PARTS keys
@@ -12,44 +12,42 @@ from pyspark.sql import functions as F
 HOT_PARTS = 2000
 
 
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_parts: int = HOT_PARTS) -> DataFrame:
+    """At most ``hot_parts`` keys, with the number of pieces each has to be cut into.
+
+    Reads only the key columns; the counts are combined inside the map tasks.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    share = F.col("_rows") * F.lit(hot_parts)
+    total = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0))).scalar()
+    return sizes.filter(share > total).select(*keys, F.ceil(share / total).cast("int").alias("_pieces"))
+
+
 def join_summary(
     rows: DataFrame,
     summary: DataFrame,
     keys: Sequence[str],
-    weight: str,
+    hot: DataFrame,
+    hot_on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
-    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
-    """Join ``summary`` (one row per key, ``weight`` = rows of that key) onto ``rows``.
+    """Join ``summary`` (one row per key) onto ``rows`` without any key staying whole.
 
-    A hot key is cut into pieces of about total/hot_parts rows: its rows are scattered by a
-    hash of ``spread_by`` and its single summary row is repeated once per piece. The
-    repeats add at most 2 * hot_parts rows in total.
+    The rows of a hot key scatter over its pieces by a hash of ``spread_by``; its summary
+    row is repeated once per piece (at most 2 * HOT_PARTS repeats in total).
     """
-    total = summary.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).scalar()
-    share = F.col(weight) * F.lit(hot_parts)
-    pieces = F.greatest(F.lit(1), F.ceil(share / F.greatest(total, F.lit(1))).cast("int"))
-    hot = (
-        summary.filter(share > total)
-        .select(*keys, pieces.alias("_pieces"))
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+    few = F.broadcast(hot)
+    salted_rows = rows.join(few, list(hot_on), "left").withColumn(
+        "_salt",
+        F.when(pieces > 1, F.pmod(F.xxhash64(*spread_by), pieces).cast("int")).otherwise(F.lit(0)),
     )
-    salted_rows = (
-        rows.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(
-            "_salt",
-            F.when(
-                F.col("_pieces").isNotNull(),
-                F.pmod(F.xxhash64(*spread_by), F.col("_pieces")).cast("int"),
-            ).otherwise(F.lit(0)),
-        )
-        .drop("_pieces")
+    salted_summary = summary.join(few, list(hot_on), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), pieces - 1))
+    )
+    return (
+        salted_rows.drop("_pieces")
+        .join(salted_summary.drop("_pieces"), [*keys, "_salt"], how)
+        .drop("_salt")
     )
-    last = F.when(share > total, pieces - 1).otherwise(F.lit(0))
-    salted_summary = summary.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
-    return salted_rows.join(salted_summary, [*keys, "_salt"], how).drop("_salt")
-
-
-def null_safe_key(*columns: Column) -> Column:
-    """Group key that keeps a null apart from every text."""
-    return F.struct(*columns)
