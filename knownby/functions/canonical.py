@@ -10,34 +10,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SHORT_ESCAPES = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r", 34: '\\"', 92: "\\\\"}
-
-
-def _escape_u(code: Column) -> Column:
-    return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code.cast("long"))), 4, "0"))
-
-
-def _escape_char(char: Column) -> Column:
-    code = F.ascii(char)
-    out = F.when(code == 8, F.lit(_SHORT_ESCAPES[8]))
-    for point, text in _SHORT_ESCAPES.items():
-        out = out.when(code == point, F.lit(text))
-    above = code - 0x10000
-    pair = F.concat(
-        _escape_u(F.lit(0xD800) + F.shiftright(above, 10)),
-        _escape_u(F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))),
-    )
-    return (
-        out.when((code >= 32) & (code < 127), char)
-        .when(code < 0x10000, _escape_u(code))
-        .otherwise(pair)
-    )
+# Code unit -> short escape; \u005c comes last so that no escape is escaped again.
+_SHORT_ESCAPES = {
+    "\\u0008": "\\b",
+    "\\u0009": "\\t",
+    "\\u000a": "\\n",
+    "\\u000c": "\\f",
+    "\\u000d": "\\r",
+    "\\u0022": '\\"',
+    "\\u005c": "\\\\",
+}
+_PLAIN = r"[ !#-\[\]-~]"
+_RUNS = r"[ !#-\[\]-~]+|[^ !#-\[\]-~]+"
+
+
+def _escape_run(run: Column) -> Column:
+    """Escape a run of characters: its UTF-16 code units are the escapes, in order."""
+    units = F.lower(F.hex(F.encode(run, "UTF-16BE")))
+    out = F.regexp_replace(units, "(.{4})", r"\\u$1")
+    for unit, short in _SHORT_ESCAPES.items():
+        out = F.replace(out, F.lit(unit), F.lit(short))
+    return out
 
 
 def json_string(col: Column) -> Column:
-    """Quoted text; the per-character path runs only where an escape is needed."""
-    escaped = F.array_join(F.transform(F.split(col, ""), _escape_char), "")
-    needs_escape = col.rlike(r'[^ -~]|["\\]')
+    """Quoted text; only runs of characters that need an escape are rewritten."""
+    runs = F.regexp_extract_all(col, F.lit(_RUNS), F.lit(0))
+    escaped = F.array_join(
+        F.transform(runs, lambda r: F.when(r.rlike("^" + _PLAIN), r).otherwise(_escape_run(r))), ""
+    )
+    needs_escape = col.rlike(r"[^ !#-\[\]-~]")
     return F.concat(F.lit('"'), F.when(needs_escape, escaped).otherwise(col), F.lit('"'))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kernel",)
+MODULES = ("kernel", "records")
 
 
 def load() -> None:

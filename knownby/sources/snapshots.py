@@ -84,15 +84,22 @@ def outcome_rows(payload_envelopes: DataFrame, keep: list[str]) -> DataFrame:
     envelope's next_timestamp is never read here.
     """
     event, book, market, outcome = (F.col(c) for c in ("event", "book", "market", "outcome"))
-    last_of_id = F.filter(
-        F.col("events"),
-        lambda e, i: ~F.exists(
-            F.slice(F.col("events"), i + 2, F.greatest(F.size("events") - i - 1, F.lit(0))),
-            lambda later: text_field(later, "id") == text_field(e, "id"),
-        ) & (text_field(e, "id") != ""),
+    placed = F.array_sort(
+        F.transform(
+            F.col("events"), lambda e, i: F.struct(text_field(e, "id").alias("id"), i.alias("at"))
+        )
+    )
+    last_of_id = F.transform(
+        F.filter(
+            F.col("placed"),
+            lambda p, j: (p["id"] != "")
+            & ~F.coalesce(F.get(F.col("placed"), j + 1)["id"] == p["id"], F.lit(False)),
+        ),
+        lambda p: F.get(F.col("events"), p["at"]),
     )
     return (
         payload_envelopes.filter("code is null")
+        .withColumn("placed", placed)
         .select(*keep, "provider_snapshot_at", F.explode(last_of_id).alias("event"))
         .select(*keep, "provider_snapshot_at", "event", F.explode_outer(items(_part(event, "bookmakers"))).alias("book"))
         .select("*", F.posexplode_outer(items(_part(book, "markets"))).alias("market_no", "market"))
