@@ -70,7 +70,7 @@ def classify_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def carried_state(classified: DataFrame) -> DataFrame:
+def carried_state(classified: DataFrame, block_lines: int = 65_536) -> DataFrame:
     """Matchday, date and kickoff in force at every line of its file.
 
     A header sets the year and forgets the month; an explicit year sets the year; any
@@ -80,7 +80,7 @@ def carried_state(classified: DataFrame) -> DataFrame:
     is_date, is_header = F.col("kind") == "DATE", F.col("kind") == "HEADER"
     marked = classified.select(
         "*",
-        number_block(F.col("line_number")).alias("_block"),
+        number_block(F.col("line_number"), block_lines).alias("_block"),
         F.when(is_header, 0).when(is_date, F.col("month")).alias("_month_mark"),
         # A date line clears the kickoff: the empty text marks "nothing to inherit".
         F.when(is_date, F.lit("")).otherwise(F.col("time")).alias("_time_mark"),

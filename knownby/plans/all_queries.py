@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kernel", "records")
+MODULES = ("kernel", "records", "reconciliation")
 
 
 def load() -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,21 +51,23 @@ def read_plan_document(spark: SparkSession, path: str) -> DataFrame:
     return read_documents(spark, path, schemas.PLAN_DOCUMENT)
 
 
-def alias_entries(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+def alias_entries(payloads: DataFrame, payload: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
     """Alias documents (label -> key) -> entries with a violation code where unusable.
 
-    Columns: provider_label, identity_key, code.
+    Columns: the ``keep`` columns, provider_label, identity_key, code.
     """
     doc = F.try_parse_json(F.col(payload))
     entries = payloads.select(
+        *keep,
         F.schema_of_variant(doc).startswith("OBJECT").alias("is_object"),
         doc.alias("doc"),
-    ).select("is_object", F.explode_outer(
+    ).select(*keep, "is_object", F.explode_outer(
         F.when(F.col("is_object"), F.map_entries(F.col("doc").try_cast("map<string,variant>")))
     ).alias("e"))
     value = F.col("e.value")
     text = F.when(F.schema_of_variant(value) == "STRING", value.cast("string"))
     return entries.filter(F.col("e").isNotNull() | ~F.coalesce("is_object", F.lit(False))).select(
+        *keep,
         F.col("e.key").alias("provider_label"),
         text.alias("identity_key"),
         F.when(~F.coalesce("is_object", F.lit(False)), "NOT_AN_OBJECT")
