@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from knownby.functions.timeops import localize_lenient, localize_strict
-from knownby.operators.scans import carried_before, carried_through, number_block
+from knownby.operators.scans import number_block
 
 # The published line format.
 _DAY = r"(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)"
@@ -19,9 +20,20 @@ LEGACY = rf"(?U)^\s+{_TIME}(.+?)\s+{_SCORE}{_HALF}\s+(.+?)\s*$"
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
-def _group(text: Column, pattern: str, index: int) -> Column:
-    """A regex group, null when it did not take part."""
-    return F.nullif(F.regexp_extract(text, pattern, index), F.lit(""))
+_SEP = "\x01"
+# Kind, pattern, and its groups in the order: time, home, away, goals, half-time goals.
+_KINDS = (
+    ("HEADER", HEADER + ".*$", (1,)),
+    ("MATCHDAY", MATCHDAY, (1,)),
+    ("DATE", DATE, (1, 2, 3)),
+    ("MODERN", MODERN, (1, 2, 3, 4, 5, 6, 7)),
+    ("LEGACY", LEGACY, (1, 2, 7, 3, 4, 5, 6)),
+)
+
+
+def _once(*columns: Column) -> Column:
+    """Generate the columns: they are computed once per row, whatever reads them later."""
+    return F.inline(F.array(F.struct(*columns)))
 
 
 def month_number(name: Column) -> Column:
@@ -33,40 +45,43 @@ def classify_lines(lines: DataFrame) -> DataFrame:
     """lines(file, line_number, text) -> the fields every kind of line carries.
 
     A line is a header, else a matchday, else a date, else a match (modern form first).
+    Other lines carry nothing and are dropped.
     """
-    text = F.regexp_replace("text", r"(?U)[\s\x1c-\x1f]+$", "")
-    kind = (
-        F.when(text.rlike(HEADER), "HEADER")
-        .when(text.rlike(MATCHDAY), "MATCHDAY")
-        .when(text.rlike(DATE), "DATE")
-        .when(text.rlike(MODERN), "MODERN")
-        .when(text.rlike(LEGACY), "LEGACY")
-    )
-    base = lines.select("file", "line_number", text.alias("line")).withColumn("kind", kind)
-    is_ = {k: F.col("kind") == k for k in ("HEADER", "MATCHDAY", "DATE", "MODERN", "LEGACY")}
+    stripped = F.regexp_replace("text", r"(?U)[\s\x1c-\x1f]+$", "")
+    base = lines.select("file", "line_number", _once(stripped.alias("line")))
     line = F.col("line")
+    parts = F.lit(None).cast("array<string>")
+    for kind, pattern, groups in reversed(_KINDS):
+        picked = kind + _SEP + _SEP.join(f"${g}" for g in groups)
+        parts = F.when(
+            line.rlike(pattern), F.split(F.regexp_replace(line, pattern, picked), _SEP, -1)
+        ).otherwise(parts)
+    found = base.select("file", "line_number", _once(parts.alias("parts"))).filter("parts is not null")
+    kind = F.col("parts")[0]
 
-    def either(modern: int, legacy: int) -> Column:
-        return F.when(is_["MODERN"], _group(line, MODERN, modern)).when(
-            is_["LEGACY"], _group(line, LEGACY, legacy)
-        )
+    def part(index: int, *kinds: str) -> Column:
+        return F.when(kind.isin(*kinds), F.nullif(F.get("parts", F.lit(index)), F.lit("")))
+
+    def number(index: int, *kinds: str) -> Column:
+        return part(index, *kinds).try_cast("int")
 
-    return base.filter(F.col("kind").isNotNull()).select(
+    match = ("MODERN", "LEGACY")
+    return found.select(
         "file",
         "line_number",
-        "kind",
-        F.when(is_["HEADER"], _group(line, HEADER, 1)).try_cast("int").alias("header_year"),
-        F.when(is_["MATCHDAY"], _group(line, MATCHDAY, 1)).try_cast("int").alias("matchday_line"),
-        F.when(is_["DATE"], month_number(_group(line, DATE, 1))).alias("month"),
-        F.when(is_["DATE"], _group(line, DATE, 2)).try_cast("int").alias("day"),
-        F.when(is_["DATE"], _group(line, DATE, 3)).try_cast("int").alias("date_year"),
-        either(1, 1).alias("time"),
-        either(2, 2).alias("home_team"),
-        either(3, 7).alias("away_team"),
-        either(4, 3).try_cast("int").alias("home_goals"),
-        either(5, 4).try_cast("int").alias("away_goals"),
-        either(6, 5).try_cast("int").alias("home_ht_goals"),
-        either(7, 6).try_cast("int").alias("away_ht_goals"),
+        kind.alias("kind"),
+        number(1, "HEADER").alias("header_year"),
+        number(1, "MATCHDAY").alias("matchday_line"),
+        month_number(part(1, "DATE")).alias("month"),
+        number(2, "DATE").alias("day"),
+        number(3, "DATE").alias("date_year"),
+        part(1, *match).alias("time"),
+        part(2, *match).alias("home_team"),
+        part(3, *match).alias("away_team"),
+        number(4, *match).alias("home_goals"),
+        number(5, *match).alias("away_goals"),
+        number(6, *match).alias("home_ht_goals"),
+        number(7, *match).alias("away_ht_goals"),
     )
 
 
@@ -75,57 +90,126 @@ def carried_state(classified: DataFrame, block_lines: int = 65_536) -> DataFrame
 
     A header sets the year and forgets the month; an explicit year sets the year; any
     other date starts a new year when its month is before the previous date's month.
+
+    A file is worked on in blocks of lines, so its size does not matter. Inside a block
+    everything is relative to what enters it: a year is absolute once the block has seen an
+    anchor, else it is "entering year + new years so far". Only the first date of a block
+    can need the month before the block (``open``). One summary row per block is then
+    scanned in order and joined back.
     """
-    file = ["file"]
+    inside = Window.partitionBy("file", "block").orderBy("line_number")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+
+    def last(column: Column | str, frame=upto) -> Column:
+        return F.last(column, ignorenulls=True).over(frame)
+
     is_date, is_header = F.col("kind") == "DATE", F.col("kind") == "HEADER"
+    plain_date = is_date & F.col("date_year").isNull()
+    month, prior = F.col("month"), F.col("local_prior")
     marked = classified.select(
         "*",
-        number_block(F.col("line_number"), block_lines).alias("_block"),
-        F.when(is_header, 0).when(is_date, F.col("month")).alias("_month_mark"),
+        number_block(F.col("line_number"), block_lines).alias("block"),
+        F.when(is_header, 0).when(is_date, month).alias("month_mark"),
         # A date line clears the kickoff: the empty text marks "nothing to inherit".
-        F.when(is_date, F.lit("")).otherwise(F.col("time")).alias("_time_mark"),
-    )
-    before = carried_before(marked, file, "_block", "line_number", {"_prev_month": ("_month_mark", "last")})
-    rolls = before.withColumn(
-        "_roll",
-        F.when(
-            is_date & F.col("date_year").isNull() & (F.col("_prev_month") > 0)
-            & (F.col("month") < F.col("_prev_month")), 1,
-        ).otherwise(0),
-    )
-    counted = carried_through(rolls, file, "_block", "line_number", {"_rolls": ("_roll", "sum")})
-    anchor_year = F.coalesce(F.col("header_year"), F.col("date_year"))
-    anchored = counted.withColumn(
-        "_anchor",
-        F.when(
-            anchor_year.isNotNull(),
-            F.struct(anchor_year.alias("year"), F.col("_rolls").alias("rolls")),
+        F.when(is_date, F.lit("")).otherwise(F.col("time")).alias("time_mark"),
+        F.coalesce("header_year", "date_year").alias("anchor_year"),
+    ).withColumn("local_prior", last("month_mark", before))
+    rolled = marked.select(
+        "*",
+        F.sum(F.when(plain_date & (prior > 0) & (month < prior), 1).otherwise(0)).over(upto).alias("rolls"),
+        last(F.when(plain_date & prior.isNull(), month)).alias("open_month"),
+    )
+    anchored = rolled.withColumn(
+        "local_year", last(F.col("anchor_year") - F.col("rolls")) + F.col("rolls")
+    )
+    local = anchored.select(
+        *classified.columns, "block", "rolls", "open_month", "local_year",
+        last("month_mark").alias("local_mark"),
+        last("matchday_line").alias("local_matchday"),
+        last("time_mark").alias("local_time"),
+        last(
+            F.when(
+                is_date,
+                F.struct("month", "day", "local_year", "rolls", F.col("open_month").isNotNull().alias("opened")),
+            )
+        ).alias("local_date"),
+    )
+    entering = _entering_state(local)
+    open_roll = F.col("open_roll")
+    year = F.coalesce(
+        "local_year",
+        F.col("enter_year") + F.col("rolls") + F.when(F.col("open_month").isNotNull(), open_roll).otherwise(0),
+    )
+    date = F.coalesce(_dated("local_date", "enter_year", open_roll), F.col("enter_date"))
+    return (
+        local.join(entering, ["file", "block"])
+        .select(
+            *classified.columns,
+            year.alias("year"),
+            F.coalesce("local_matchday", "enter_matchday").alias("matchday"),
+            date.alias("date"),
+            F.nullif(F.coalesce("local_time", "enter_time"), F.lit("")).alias("kickoff_local"),
+        )
+        .select(
+            *classified.columns,
+            "year",
+            "matchday",
+            F.try_to_date(F.format_string("%04d-%02d-%02d", "date.year", "date.month", "date.day"), "yyyy-MM-dd").alias(
+                "date_local"
+            ),
+            F.col("date").isNotNull().alias("has_date"),
+            "kickoff_local",
+        )
+    )
+
+
+def _dated(date: str, entering_year: str, open_roll: Column) -> Column:
+    """A block-relative date with its year made absolute."""
+    d = F.col(date)
+    relative = F.col(entering_year) + d["rolls"] + F.when(d["opened"], open_roll).otherwise(0)
+    return F.when(
+        d.isNotNull(),
+        F.struct(
+            F.coalesce(d["local_year"], relative).cast("int").alias("year"),
+            d["month"].alias("month"), d["day"].alias("day"),
         ),
     )
-    with_year = carried_through(
-        anchored, file, "_block", "line_number",
-        {
-            "_year_anchor": ("_anchor", "last"),
-            "matchday": ("matchday_line", "last"),
-            "_kickoff": ("_time_mark", "last"),
-        },
-    ).withColumn(
-        "year", F.col("_year_anchor.year") + F.col("_rolls") - F.col("_year_anchor.rolls")
-    )
-    dated = with_year.withColumn(
-        "_date_mark",
-        F.when(
-            is_date,
+
+
+def _entering_state(local: DataFrame) -> DataFrame:
+    """(file, block) -> the state that earlier blocks hand over. Windows over block rows."""
+    ends = local.groupBy("file", "block").agg(
+        F.max_by(
             F.struct(
-                F.try_make_date("year", "month", "day").alias("value"),
-                F.col("line_number").alias("line"),
+                "rolls", "open_month", "local_year", "local_mark", "local_matchday", "local_time", "local_date"
             ),
-        ),
+            "line_number",
+        ).alias("end")
+    ).select("file", "block", "end.*")
+    by_block = Window.partitionBy("file").orderBy("block")
+    upto = by_block.rowsBetween(Window.unboundedPreceding, 0)
+    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
+
+    def entering(column: Column | str) -> Column:
+        return F.last(column, ignorenulls=True).over(before)
+
+    mark = F.col("enter_mark")
+    opened = ends.withColumn("enter_mark", entering("local_mark")).withColumn(
+        "open_roll", F.when((mark > 0) & (F.col("open_month") < mark), 1).otherwise(0)
+    )
+    summed = opened.withColumn("block_rolls", F.col("rolls") + F.col("open_roll")).withColumn(
+        "all_rolls", F.sum("block_rolls").over(upto)
     )
-    return carried_through(dated, file, "_block", "line_number", {"_date": ("_date_mark", "last")}).select(
-        *classified.columns, "year", "matchday", F.col("_date.value").alias("date_local"),
-        F.col("_date").isNotNull().alias("has_date"),
-        F.nullif(F.col("_kickoff"), F.lit("")).alias("kickoff_local"),
+    dated = summed.withColumn(
+        "enter_year",
+        entering(F.col("local_year") - F.col("all_rolls")) + F.col("all_rolls") - F.col("block_rolls"),
+    ).withColumn("end_date", _dated("local_date", "enter_year", F.col("open_roll")))
+    return dated.select(
+        "file", "block", "open_roll", "enter_year",
+        entering("local_matchday").alias("enter_matchday"),
+        entering("local_time").alias("enter_time"),
+        entering("end_date").alias("enter_date"),
     )
 
 
