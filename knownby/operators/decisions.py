@@ -28,10 +28,9 @@ def market_catalog(spark: SparkSession) -> DataFrame:
 
 
 def state_at_cutoff(state: Column, technical: Column) -> Column:
-    """WAIT or REVIEW that is still open at the cutoff ends as NO_BET, or BLOCKED when the
-    cause is technical."""
-    open_state = state.isin("WAIT", "REVIEW")
-    return F.when(open_state & technical, "BLOCKED").when(open_state, "NO_BET").otherwise(state)
+    """Final state at the cutoff: a technical, integrity or licensing impossibility blocks;
+    a WAIT or REVIEW that is still open ends as NO_BET."""
+    return F.when(technical, "BLOCKED").when(state.isin("WAIT", "REVIEW"), "NO_BET").otherwise(state)
 
 
 def state_rates(decisions: DataFrame, segment: Sequence[str], state: str = "state") -> DataFrame:

@@ -99,3 +99,55 @@ def number_block(order: Column, size: int = 65_536) -> Column:
 def time_block(order: Column, days: int = 1) -> Column:
     """Blocks of whole days of an instant."""
     return F.floor(F.unix_micros(order) / F.lit(days * 86_400_000_000))
+
+
+def rolling_before(
+    df: DataFrame,
+    group: Sequence[str],
+    block: str,
+    order: str | Sequence[str],
+    rows: int,
+    values: Mapping[str, Column],
+    block_rows: int = 8_192,
+) -> DataFrame:
+    """Aggregates over the ``rows`` rows strictly before this one, e.g. ``avg(x)``.
+
+    Rows are numbered inside their group by a blocked running count, then cut into blocks
+    of ``block_rows``; each block also receives the last ``rows`` rows of the one before,
+    which is all its first rows can look back on.
+    """
+    if not 1 <= rows <= block_rows:
+        raise ValueError("rows must be between 1 and block_rows")
+    order = [order] if isinstance(order, str) else list(order)
+    numbered = carried_through(
+        df.withColumn("_one", F.lit(1)), group, block, order, {"_seq": ("_one", "sum")}
+    ).drop("_one")
+    number = F.col("_seq") - 1
+    own = F.floor(number / block_rows)
+    tail = number % block_rows >= block_rows - rows
+    placed = numbered.select(
+        "*", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))).alias("_slot")
+    )
+    frame = Window.partitionBy(*group, "_slot").orderBy("_seq").rowsBetween(-rows, -1)
+    scanned = placed.select("*", *[v.over(frame).alias(out) for out, v in values.items()])
+    return scanned.filter(F.col("_slot") == own).drop("_seq", "_slot")
+
+
+def trailing_time(
+    df: DataFrame,
+    group: Sequence[str],
+    at: str,
+    days: int,
+    values: Mapping[str, Column],
+) -> DataFrame:
+    """Aggregates over rows of the group in the ``days`` before this row's instant.
+
+    Rows are bucketed by ``days``; a window reaches back one bucket at most, so every
+    bucket also receives the rows of the one before.
+    """
+    width = days * 86_400_000_000
+    own = F.floor(F.unix_micros(at) / F.lit(width))
+    placed = df.select("*", F.unix_micros(at).alias("_us"), F.explode(F.array(own, own + 1)).alias("_slot"))
+    frame = Window.partitionBy(*group, "_slot").orderBy("_us").rangeBetween(-width, -1)
+    scanned = placed.select("*", *[v.over(frame).alias(out) for out, v in values.items()])
+    return scanned.filter(F.col("_slot") == F.floor(F.col("_us") / F.lit(width))).drop("_us", "_slot")

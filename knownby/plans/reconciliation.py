@@ -255,8 +255,8 @@ pt AS (SELECT snapshot_id, ev, string_agg(CAST(point AS VARCHAR), ',' ORDER BY p
 """
 
 
-def item_odds(t: Tables) -> DataFrame:
-    """One offered outcome per line item."""
+def item_odds(t: Tables, keep: dict[str, str] | None = None) -> DataFrame:
+    """One offered outcome per line item; ``keep`` adds source columns under new names."""
     n = F.col("l_linenumber")
     event = F.col("l_orderkey").cast("string")
     names = {1: F.concat(F.lit("Home "), event), 2: F.lit("Draw"), 3: F.concat(F.lit("Away "), event),
@@ -275,6 +275,7 @@ def item_odds(t: Tables) -> DataFrame:
         name.alias("outcome_name"),
         (F.lit(1.0) + F.col("l_discount") * 20).alias("price"),
         (F.round(F.col("l_quantity") / 2) / 2).alias("point"),
+        *[F.col(source).alias(name) for name, source in (keep or {}).items()],
     )
 
 
