@@ -23,8 +23,8 @@ def parlay_summary(legs: DataFrame, dependencies: DataFrame) -> DataFrame:
         *[F.count(F.when(F.col("mr") == m, 1)).alias(f"count_{m.lower()}") for m in MARKET_RISK_CLASSES],
         F.count(F.when(mr >= 4, 1)).alias("count_mr4_plus"),
         F.min("sport").alias("_s0"), F.max("sport").alias("_s1"),
-        F.sum(F.log("odds")).alias("_log_odds"),
-        F.sum(F.log("p_safe")).alias("_log_p"),
+        F.product("odds").alias("combined_odds"),
+        F.product("p_safe").alias("_p"),
     )
     low, high = F.least("selection_a", "selection_b"), F.greatest("selection_a", "selection_b")
     pairs = dependencies.groupBy("parlay_id", low.alias("a"), high.alias("b")).agg(
@@ -37,7 +37,7 @@ def parlay_summary(legs: DataFrame, dependencies: DataFrame) -> DataFrame:
     )
     n = F.col("legs")
     all_independent = (F.col("asserted_pairs") == n * (n - 1) / 2) & (F.col("dependent_pairs") == 0)
-    odds, p = F.exp("_log_odds"), F.exp("_log_p")
+    odds, p = F.col("combined_odds"), F.col("_p")
     return (
         base.join(pairs, "parlay_id", "left")
         .na.fill(0, ["asserted_pairs", "dependent_pairs", "contradictory_pairs"])
@@ -46,7 +46,7 @@ def parlay_summary(legs: DataFrame, dependencies: DataFrame) -> DataFrame:
             F.concat(F.lit("MR"), F.col("_max_mr").cast("string")).alias("max_mr"),
             *[f"count_{m.lower()}" for m in MARKET_RISK_CLASSES], "count_mr4_plus",
             F.when(F.col("_s0") == F.col("_s1"), "MONO_SPORT").otherwise("MULTI_SPORT").alias("sport_mix"),
-            odds.alias("combined_odds"), return_band(odds).alias("return_band"),
+            "combined_odds", return_band(odds).alias("return_band"),
             F.when(all_independent, p).alias("combined_p_safe"),
             probability_band(F.when(all_independent, p)).alias("probability_band"),
             F.when(F.col("contradictory_pairs") > 0, "REJECTED_CONTRADICTORY")

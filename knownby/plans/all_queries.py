@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kernel", "records", "reconciliation", "consistency", "extraction", "market")
+MODULES = ("kernel", "records", "reconciliation", "consistency", "extraction", "market", "research")
 
 
 def load() -> None:
