@@ -89,16 +89,21 @@ def json_double(col: Column) -> Column:
     return F.when(exponent == 0, text).otherwise(plain)
 
 
-def canonical_json(col: Column, dtype: T.DataType) -> Column:
-    """Canonical JSON text of ``col``; the shape is fixed by ``dtype`` at plan time."""
+def canonical_json(col: Column, dtype: T.DataType, plain: frozenset[str] = frozenset()) -> Column:
+    """Canonical JSON text of ``col``; the shape is fixed by ``dtype`` at plan time.
+
+    ``plain`` names text fields whose domain rules out escapes (hex digests, enumerations):
+    they are quoted as they are instead of being searched for characters to escape.
+    """
     if isinstance(dtype, T.StructType):
         parts: list[Column] = []
         for i, field in enumerate(sorted(dtype.fields, key=lambda f: f.name)):
             lead = ("," if i else "{") + f'"{field.name}":'
-            parts += [F.lit(lead), canonical_json(col.getField(field.name), field.dataType)]
+            value = col.getField(field.name)
+            parts += [F.lit(lead), _field_json(value, field.dataType, field.name in plain, plain)]
         body = F.concat(*parts, F.lit("}")) if parts else F.lit("{}")
     elif isinstance(dtype, T.ArrayType):
-        items = F.transform(col, lambda item: canonical_json(item, dtype.elementType))
+        items = F.transform(col, lambda item: canonical_json(item, dtype.elementType, plain))
         body = F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
     elif isinstance(dtype, T.StringType):
         body = json_string(col)
@@ -113,10 +118,20 @@ def canonical_json(col: Column, dtype: T.DataType) -> Column:
     return F.when(col.isNull(), F.lit("null")).otherwise(body)
 
 
-def content_digest(col: Column, dtype: T.DataType) -> Column:
-    return F.sha2(canonical_json(col, dtype), 256)
+def _field_json(value: Column, dtype: T.DataType, is_plain: bool, plain: frozenset[str]) -> Column:
+    quote = F.lit('"')
+    if is_plain and isinstance(dtype, T.StringType):
+        return F.coalesce(F.concat(quote, value, quote), F.lit("null"))
+    if is_plain and isinstance(dtype, T.ArrayType):
+        listed = F.concat(F.lit('["'), F.array_join(value, '","'), F.lit('"]'))
+        return F.when(value.isNull(), "null").when(F.size(value) == 0, "[]").otherwise(listed)
+    return canonical_json(value, dtype, plain)
+
+
+def content_digest(col: Column, dtype: T.DataType, plain: frozenset[str] = frozenset()) -> Column:
+    return F.sha2(canonical_json(col, dtype, plain), 256)
 
 
-def row_digest(schema: T.StructType) -> Column:
+def row_digest(schema: T.StructType, plain: frozenset[str] = frozenset()) -> Column:
     """Digest over every column of a row with ``schema``."""
-    return content_digest(F.struct(*[F.col(f.name) for f in schema.fields]), schema)
+    return content_digest(F.struct(*[F.col(f.name) for f in schema.fields]), schema, plain)

@@ -65,18 +65,31 @@ def array_rule(code: str, field: str, broken) -> Rule:
     return Rule(code, field, F.exists(F.col(field), lambda item: F.coalesce(broken(item), F.lit(False))))
 
 
+def _hits(rules: Sequence[Rule]) -> Column:
+    return F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    r.violated, F.struct(F.lit(r.code).alias("code"), F.lit(r.field).alias("field"))
+                )
+                for r in rules
+            ]
+        )
+    )
+
+
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``violations``: array<struct<code, field>> in rule order, empty for a good row."""
-    hits = [
-        F.when(r.violated, F.struct(F.lit(r.code).alias("code"), F.lit(r.field).alias("field")))
-        for r in rules
-    ]
-    return df.withColumn("violations", F.array_compact(F.array(*hits)))
+    return df.withColumn("violations", _hits(rules))
 
 
 def violation_rows(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> DataFrame:
-    """One row per broken rule, with the ``keep`` columns of its source row."""
-    return validate(df, rules).select(*keep, F.inline("violations"))
+    """One row per broken rule, with the ``keep`` columns of its source row.
+
+    The array is generated from its expression, not from a named column: a named column
+    would make Spark add a filter on the whole rule table and evaluate it twice.
+    """
+    return df.select(*keep, F.inline(_hits(rules)))
 
 
 def fail_on(violations: DataFrame, codes: Iterable[str] | None = None) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,24 +40,12 @@ def davidson(home_strength: Column, away_strength: Column, home_advantage: float
     return [(x / total).alias("p_home"), (tie / total).alias("p_draw"), (y / total).alias("p_away")]
 
 
-def poisson_masses(rate: Column, max_goals: int) -> Column:
-    """P(0..max_goals) as an array."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(max_goals)),
-        lambda k: F.exp(-rate) * F.pow(rate, k) / F.factorial(k),
-    )
-
+def poisson_mass(rate: Column, goals: int) -> Column:
+    return F.exp(-rate) * F.pow(rate, F.lit(goals)) / F.lit(float(math.factorial(goals)))
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
-
-def _running(values: Column) -> Column:
-    """Cumulative sums, shifted: item k is the sum of items before k."""
-    size = F.size(values)
-    return F.transform(
-        F.sequence(F.lit(0), size - 1), lambda k: _total(F.slice(values, 1, k))
-    )
+def _sum(terms: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a + b, terms, F.lit(0.0))
 
 
 def dixon_coles_tau(lam: Column, mu: Column, rho: Column) -> dict[tuple[int, int], Column]:
@@ -72,28 +62,27 @@ def score_model(
 ) -> DataFrame:
     """1X2 and over/under from a score grid of 0..max_goals, renormalised.
 
-    The grid is never laid out in rows: row sums and cumulative sums of the two marginal
-    arrays give all totals, and the low-score adjustment touches four cells. The mass
+    The grid is never laid out in rows: partial sums of the two marginal distributions give
+    all totals inside one generated expression, and the low-score adjustment touches four
+    cells. The mass
     outside the grid is reported as ``tail_mass``; ``valid`` is false where an adjusted
     cell would be negative. ``line`` has to be a half-goal line.
     """
     if line * 2 % 2 != 1:
         raise ValueError("line must be a half-goal line")
     lam, mu = F.col(home_rate), F.col(away_rate)
-    base = fixtures.withColumn("_h", poisson_masses(lam, max_goals)).withColumn(
-        "_a", poisson_masses(mu, max_goals)
-    ).withColumn("_ca", _running(F.col("_a"))).withColumn("_ch", _running(F.col("_h")))
-    under_goals = int(line)
-    home = _total(F.zip_with("_h", "_ca", lambda p, below: p * below))
-    away = _total(F.zip_with("_a", "_ch", lambda p, below: p * below))
-    draw = _total(F.zip_with("_h", "_a", lambda p, q: p * q))
-    under = _total(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(min(under_goals, max_goals))),
-            lambda x: F.get("_h", x) * _total(F.slice("_a", 1, F.lit(under_goals + 1) - x)),
-        )
+    goals = range(max_goals + 1)
+    base = fixtures.select(
+        "*",
+        *[poisson_mass(lam, g).alias(f"_h{g}") for g in goals],
+        *[poisson_mass(mu, g).alias(f"_a{g}") for g in goals],
     )
-    cells = {(x, y): F.get("_h", F.lit(x)) * F.get("_a", F.lit(y)) for x in (0, 1) for y in (0, 1)}
+    h, a = [F.col(f"_h{g}") for g in goals], [F.col(f"_a{g}") for g in goals]
+    home = _sum([h[g] * _sum(a[:g]) for g in goals])
+    away = _sum([a[g] * _sum(h[:g]) for g in goals])
+    draw = _sum([h[g] * a[g] for g in goals])
+    under = _sum([h[g] * _sum(a[: int(line) + 1 - g]) for g in goals if g < line])
+    cells = {(x, y): h[x] * a[y] for x in (0, 1) for y in (0, 1)}
     valid = F.lit(True)
     if rho is not None:
         for (x, y), tau in dixon_coles_tau(lam, mu, rho).items():

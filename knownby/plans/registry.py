@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from knownby.session import load_table, pin_time_zone
+from knownby.session import load_table, pin_session
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 def runner(plan: Plan) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, directory: str) -> DataFrame:
-        pin_time_zone(spark)
+        pin_session(spark)
         return plan(Tables(spark, directory))
 
     return run

@@ -10,12 +10,15 @@ from pyspark.sql import types as T
 
 # Instants only: wall-clock columns become UTC instants once, at the boundary.
 SESSION_TIME_ZONE = "UTC"
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": SESSION_TIME_ZONE,
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
 
 
 def build_session(app_name: str = "knownby", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", SESSION_TIME_ZONE)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -23,15 +26,21 @@ def build_session(app_name: str = "knownby", master: str | None = None, **conf:
     )
     if master is not None:
         builder = builder.master(master)
-    for key, value in conf.items():
+    for key, value in {**RUNTIME_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def pin_time_zone(spark: SparkSession) -> None:
-    """All operators compare instants, so the session must read wall times as UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != SESSION_TIME_ZONE:
-        spark.conf.set("spark.sql.session.timeZone", SESSION_TIME_ZONE)
+def pin_session(spark: SparkSession) -> None:
+    """What the plans rely on, for a session that somebody else has built.
+
+    Operators compare instants, so wall times must be read as UTC. Rule tables generate
+    wide expressions; the JVM never compiles methods above 8000 bytes, and with the limit
+    set Spark splits such code into smaller methods instead.
+    """
+    for key, value in RUNTIME_SETTINGS.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
 
 
 def with_instants(df: DataFrame) -> DataFrame:
@@ -42,8 +51,20 @@ def with_instants(df: DataFrame) -> DataFrame:
     )
 
 
+# Parquet splits no finer than a row group, so a small file is one task however many cores
+# wait. Below this many input splits (128 MB each by default, so 4 GB at most) dealing the
+# rows out costs less than leaving the cores idle; anything larger is left as it is.
+FEW_SPLITS = 32
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
+
+
 def load_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return with_instants(spark.read.parquet(os.path.join(directory, f"{name}.parquet")))
+    raw = spark.read.parquet(os.path.join(directory, f"{name}.parquet"))
+    return with_instants(spread_small_input(raw))
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> None:
