@@ -149,6 +149,50 @@ def plan_query_violations(queries: DataFrame, groups: DataFrame, offsets: Sequen
     )
 
 
+def _document_violations(documents: DataFrame, name: str, rules: Mapping[str, Column]) -> DataFrame:
+    """A rule that is false or null is broken."""
+    broken = F.array_compact(
+        F.array(*[F.when(~F.coalesce(kept, F.lit(False)), F.lit(code)) for code, kept in rules.items()])
+    )
+    return documents.select(
+        F.explode(broken).alias("code"), F.col(name).cast("string").alias("subject"),
+        F.lit(None).cast("string").alias("detail"),
+    )
+
+
+def _texts(values: Sequence[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def declared_plan_violations(documents: DataFrame, name: str, groups: int, cutoffs: Sequence[str]) -> DataFrame:
+    """What a plan document declares about itself: counts, and the cutoff set in order."""
+    wanted = groups * len(cutoffs)
+    return _document_violations(documents, name, {
+        "GROUP_COUNT_DECLARED": F.col("kickoff_group_count") == groups,
+        "CUTOFFS_DECLARED": F.col("cutoffs_per_group") == _texts(cutoffs),
+        "QUERY_COUNT_DECLARED": F.col("planned_query_count") == wanted,
+        "GROUP_COUNT": F.size("kickoff_groups") == groups,
+        "QUERY_COUNT": F.size("query_plan") == wanted,
+    })
+
+
+def declared_fixture_violations(
+    documents: DataFrame, name: str, fixtures: int, weeks: Sequence[str], teams: int, aliases: Mapping[str, str]
+) -> DataFrame:
+    """What a fixture document declares: counts, weeks in order, team keys and alias map."""
+    entries = F.array_sort(F.map_entries("source_label_aliases"))
+    expected = F.array_sort(F.map_entries(F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])))
+    keys = F.col("source_identity_team_keys")
+    return _document_violations(documents, name, {
+        "FIXTURE_COUNT_DECLARED": F.col("fixture_count") == fixtures,
+        "FIXTURE_COUNT": F.size("fixtures") == fixtures,
+        "WEEKS_DECLARED": F.col("matchweeks") == _texts(weeks),
+        "TEAM_KEY_COUNT": F.size(keys) == teams,
+        "TEAM_KEYS_REPEATED": F.size(F.array_distinct(keys)) == F.size(keys),
+        "ALIAS_MAP": entries == expected,
+    })
+
+
 def fixture_violations(fixtures: DataFrame, groups: DataFrame, weeks: Sequence[str]) -> DataFrame:
     """Row rules, references and duplicates of expected fixtures."""
     subject = F.col("fixture_index")
@@ -216,13 +260,12 @@ def request_grid(
 
 
 def request_slice(requests: DataFrame, order: Sequence[str], offset: int, limit: int | None) -> DataFrame:
-    """Requests ``offset``.. in order; ``limit`` None takes all the rest."""
+    """Requests ``offset``.. in order; ``limit`` None means all of them, whatever the offset."""
     if offset < 0:
         raise ValueError("offset must be >= 0")
     if limit is not None and limit < 1:
         raise ValueError("limit must be >= 1")
-    ordered = requests.orderBy(*order)
-    return ordered.offset(offset).limit(limit) if limit is not None else ordered.offset(offset)
+    return requests if limit is None else requests.orderBy(*order).offset(offset).limit(limit)
 
 
 def estimated_credits(requests: DataFrame, credits_per_request: int) -> DataFrame:

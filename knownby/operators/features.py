@@ -23,12 +23,13 @@ def team_matches(matches: DataFrame) -> DataFrame:
     return matches.select("season", "match_id", "event_time", F.inline(sides))
 
 
-def form_features(teams: DataFrame, window: int, congestion_days: int) -> DataFrame:
+def form_features(teams: DataFrame, window: int, congestion_days: int, block_days: int = 1) -> DataFrame:
     """Form over the last ``window`` matches, rest days and congestion: earlier matches only.
 
-    The order of a team's matches is (event_time, match_id).
+    The order of a team's matches is (event_time, match_id); ``block_days`` cuts a team's
+    history into blocks for the running count.
     """
-    blocked = teams.withColumn("_block", time_block(F.col("event_time"), 365))
+    blocked = teams.withColumn("_block", time_block(F.col("event_time"), block_days))
     formed = rolling_before(
         blocked, ["team"], "_block", ["event_time", "match_id"], window,
         {
@@ -50,9 +51,9 @@ def form_features(teams: DataFrame, window: int, congestion_days: int) -> DataFr
     )
 
 
-def table_before(teams: DataFrame) -> DataFrame:
+def table_before(teams: DataFrame, block_days: int = 1) -> DataFrame:
     """Season points, goal difference and games played before every match of a team."""
-    blocked = teams.withColumn("_block", time_block(F.col("event_time"), 30)).withColumn(
+    blocked = teams.withColumn("_block", time_block(F.col("event_time"), block_days)).withColumn(
         "_goal_difference", F.col("goals_for") - F.col("goals_against")
     ).withColumn("_one", F.lit(1))
     added = carried_before(

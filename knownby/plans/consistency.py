@@ -217,7 +217,7 @@ def market_catalog_lookup(t: Tables) -> DataFrame:
     )])
     rows = t.part.select(F.get(families, (F.col("p_partkey") % 6).cast("int")).alias("market_family"))
     counted = rows.groupBy("market_family").agg(F.count(F.lit(1)).alias("rows"))
-    return counted.join(market_catalog(t.spark), "market_family", "left").select(
+    return counted.join(F.broadcast(market_catalog(t.spark)), "market_family", "left").select(
         "market_family", "sport", "phase", "mr_base", "rows"
     )
 
@@ -308,3 +308,53 @@ def combined_decision_states(t: Tables) -> DataFrame:
         state = F.when(F.col("event_type") == event, F.lit(name)).otherwise(state)
     rows = t.events.filter("value > 30").select("user_id", state.alias("state"))
     return combine_states(rows, ["user_id"]).withColumn("precedence", state_rank(F.col("state")))
+
+
+@query(
+    "declared_plan_document",
+    """WITH d AS (SELECT c_custkey AS k FROM customer)
+       SELECT code, CAST(k AS VARCHAR) AS subject, NULL AS detail FROM (
+         SELECT k, 'GROUP_COUNT_DECLARED' AS code FROM d WHERE k % 5 = 0 UNION ALL SELECT k, 'CUTOFFS_DECLARED' FROM d WHERE k % 7 = 0
+         UNION ALL SELECT k, 'QUERY_COUNT_DECLARED' FROM d WHERE k % 11 IN (0, 1) UNION ALL SELECT k, 'GROUP_COUNT' FROM d WHERE k % 13 = 0
+         UNION ALL SELECT k, 'QUERY_COUNT' FROM d WHERE k % 17 = 0)""",
+)
+def declared_plan_document(t: Tables) -> DataFrame:
+    k = F.col("c_custkey")
+    cutoffs = [F.lit(c) for c in _OFFSETS]
+    documents = t.customer.select(
+        k.alias("k"),
+        F.when(k % 5 == 0, 22).otherwise(23).alias("kickoff_group_count"),
+        F.when(k % 7 == 0, F.array(*reversed(cutoffs))).otherwise(F.array(*cutoffs)).alias("cutoffs_per_group"),
+        F.when(k % 11 == 0, 70).when(k % 11 != 1, 69).alias("planned_query_count"),
+        F.sequence(F.lit(1), F.when(k % 13 == 0, 24).otherwise(23)).alias("kickoff_groups"),
+        F.sequence(F.lit(1), F.when(k % 17 == 0, 68).otherwise(69)).alias("query_plan"),
+    )
+    return K.declared_plan_violations(documents, "k", 23, _OFFSETS)
+
+
+@query(
+    "declared_fixture_document",
+    """WITH d AS (SELECT o_orderkey AS k FROM orders)
+       SELECT code, CAST(k AS VARCHAR) AS subject, NULL AS detail FROM (
+         SELECT k, 'FIXTURE_COUNT_DECLARED' AS code FROM d WHERE k % 5 = 0 UNION ALL SELECT k, 'FIXTURE_COUNT' FROM d WHERE k % 7 = 0
+         UNION ALL SELECT k, 'WEEKS_DECLARED' FROM d WHERE k % 11 = 0 UNION ALL SELECT k, 'TEAM_KEY_COUNT' FROM d WHERE k % 13 = 0
+         UNION ALL SELECT k, 'TEAM_KEYS_REPEATED' FROM d WHERE k % 17 = 0 UNION ALL SELECT k, 'ALIAS_MAP' FROM d WHERE k % 19 IN (0, 1))""",
+)
+def declared_fixture_document(t: Tables) -> DataFrame:
+    k = F.col("o_orderkey")
+
+    def keys(count, repeated):
+        numbers = F.sequence(F.lit(1), count)
+        return F.transform(numbers, lambda n: F.concat(F.lit("K"), F.when(repeated & (n == 2), 1).otherwise(n).cast("string")))
+
+    documents = t.orders.select(
+        k.alias("k"),
+        F.when(k % 5 == 0, 41).otherwise(40).alias("fixture_count"),
+        F.sequence(F.lit(1), F.when(k % 7 == 0, 39).otherwise(40)).alias("fixtures"),
+        F.when(k % 11 == 0, F.array(F.lit("MW1"))).otherwise(F.array(F.lit("MW1"), F.lit("MW2"))).alias("matchweeks"),
+        keys(F.when(k % 13 == 0, 19).otherwise(20), k % 17 == 0).alias("source_identity_team_keys"),
+        F.when(k % 19 == 0, F.create_map(F.lit("Short"), F.lit("Other")))
+        .when(k % 19 != 1, F.create_map(F.lit("Short"), F.lit("Long")))
+        .alias("source_label_aliases"),
+    )
+    return K.declared_fixture_violations(documents, "k", 40, ("MW1", "MW2"), 20, {"Short": "Long"})

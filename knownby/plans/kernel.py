@@ -13,10 +13,12 @@ from knownby.operators.manifest import (
     DatasetRef,
     audit,
     disposition_counts,
+    eligibility_rules,
     materialize,
     reason_counts,
     replay_difference,
 )
+from knownby.operators.rules import violation_rows
 from knownby.plans.registry import Tables, query
 
 UTC = timezone.utc
@@ -327,3 +329,29 @@ def pit_audit(t: Tables) -> DataFrame:
         ).otherwise(F.col("disposition")),
     )
     return audit(tampered, made.outcomes)
+
+
+@query(
+    "pit_manifest_audit",
+    """SELECT 'y1997' AS cutoff_id, CAST(NULL AS VARCHAR) AS logical_key, 'CONTENT_HASH_MISMATCH' AS code, 'content_hash must hash the body' AS detail
+       WHERE (SELECT count(*) FROM lineitem) > 0""",
+)
+def pit_manifest_audit(t: Tables) -> DataFrame:
+    """The dataset version of one manifest row is changed after sealing; only that shows."""
+    made = materialize(lineitem_observations(t), THREE_CUTOFFS, CODE_VERSION, DATASET)
+    changed = F.when(F.col("cutoff_id") == "y1997", "2").otherwise(F.col("dataset_ref.version"))
+    tampered = made.manifest.withColumn("dataset_ref", F.col("dataset_ref").withField("version", changed))
+    return audit(made.decisions, made.outcomes, tampered)
+
+
+@query(
+    "pit_eligibility_audit",
+    _ONE + """SELECT e.record_digest, 'ELIGIBILITY_MISMATCH' AS code, 'eligible' AS field FROM ev2 e, range(1, 1000) g(n)
+      WHERE n <= e.copies AND e.ok AND e.source_id = 'src-1'""",
+)
+def pit_eligibility_audit(t: Tables) -> DataFrame:
+    """Eligible rows of one source are flipped and must be found."""
+    source = lineitem_observations(t).select("logical_key", "record_digest", "source_id").distinct()
+    rows = evaluate_eligibility(lineitem_observations(t), ONE_CUTOFF).join(source, ["logical_key", "record_digest"])
+    flipped = rows.withColumn("eligible", F.col("eligible") & (F.col("source_id") != "src-1"))
+    return violation_rows(flipped, eligibility_rules(), ["record_digest"])
