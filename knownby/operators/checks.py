@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from knownby.domains import CUTOFF_OFFSET_SECONDS
 from knownby.functions.urls import form_encode
 from knownby.operators.scans import carried_before, number_block
+from knownby.operators.skew import hot_keys, join_summary
 
 
 def violations(df: DataFrame, code: str, subject: Column, detail: Column | None = None) -> DataFrame:
@@ -202,8 +203,11 @@ def fixture_violations(fixtures: DataFrame, groups: DataFrame, weeks: Sequence[s
     )
     typed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in needed])
     known = groups.groupBy("group_id").agg(F.min("kickoff").alias("group_kickoff"))
-    referred = fixtures.join(
-        known.withColumnRenamed("group_id", "kickoff_group_id"), "kickoff_group_id", "left"
+    group = ["kickoff_group_id"]
+    referred = join_summary(
+        fixtures.filter(F.col("kickoff_group_id").isNotNull()),
+        known.withColumnRenamed("group_id", "kickoff_group_id"),
+        group, hot_keys(fixtures, group), group, ["fixture_index"], how="left",
     )
     return all_of(
         violations(fixtures.filter(typed), "INVALID_IDENTITY_FIELDS", subject),
@@ -212,8 +216,7 @@ def fixture_violations(fixtures: DataFrame, groups: DataFrame, weeks: Sequence[s
             fixtures.filter(F.col("official_home_name") == F.col("official_away_name")), "SELF_MATCH", subject
         ),
         violations(
-            referred.filter(F.col("group_kickoff").isNull() & F.col("kickoff_group_id").isNotNull()),
-            "UNKNOWN_GROUP", subject,
+            referred.filter(F.col("group_kickoff").isNull()), "UNKNOWN_GROUP", subject,
         ),
         violations(
             referred.filter(F.col("group_kickoff") != F.col("kickoff")), "GROUP_KICKOFF_MISMATCH", subject

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from knownby.functions.scalars import ratio
 from knownby.operators.scans import carried_through
+from knownby.operators.skew import hot_keys, join_summary
 
 
 def edge_bin(value: Column, edges: Sequence[float]) -> Column:
@@ -58,7 +59,8 @@ def kolmogorov_smirnov(rows: DataFrame, current: Column, value: str, group: Sequ
     )
     totals = counted.groupBy(*group).agg(F.sum("reference").alias("rt"), F.sum("current").alias("ct"))
     gap = F.abs(ratio(F.col("r"), F.col("rt")) - ratio(F.col("c"), F.col("ct")))
-    return running.join(totals, list(group)).groupBy(*group).agg(F.max(gap).alias("ks"))
+    joined = join_summary(running, totals, group, hot_keys(counted, group), group, [value])
+    return joined.groupBy(*group).agg(F.max(gap).alias("ks"))
 
 
 def missingness_change(rows: DataFrame, current: Column, columns: Sequence[str], group: Sequence[str]) -> DataFrame:

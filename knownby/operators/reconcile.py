@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knownby.domains import RESOLUTION_BASIS
-from knownby.operators.skew import hot_keys, join_summary
+from knownby.operators.skew import hot_keys, join_summary, mark_members
 
 TRIPLE = ("kickoff", "home_key", "away_key")
 
@@ -46,6 +46,10 @@ class Reconciliation:
     def usable_fixtures(self) -> DataFrame:
         return self.fixtures.filter(F.col("kickoff").isNotNull())
 
+    @cached_property
+    def fixture_kickoffs(self) -> DataFrame:
+        return self.usable_fixtures.select("kickoff").distinct()
+
     @cached_property
     def identified(self) -> DataFrame:
         return attach_identity(self.events, self.aliases)
@@ -95,18 +99,22 @@ class Reconciliation:
     @cached_property
     def outside_events(self) -> DataFrame:
         """Events whose kickoff no fixture has."""
-        return self.events.join(
-            self.usable_fixtures.select("kickoff").distinct(), "kickoff", "left_anti"
+        at_fixture = mark_members(
+            self.events, self.fixture_kickoffs, ["kickoff"], ["provider_event_id"], "at_fixture"
         )
+        return at_fixture.filter(~F.col("at_fixture")).drop("at_fixture")
 
     @cached_property
     def unmatched_events(self) -> DataFrame:
         """Distinct (kickoff, event id) at a fixture kickoff that resolved nothing."""
         resolved = self.resolved_pairs.select("kickoff", "provider_event_id").distinct()
+        distinct = self.events.select("kickoff", "provider_event_id").distinct()
+        at_fixture = mark_members(
+            distinct, self.fixture_kickoffs, ["kickoff"], ["provider_event_id"], "at_fixture"
+        )
         return (
-            self.events.select("kickoff", "provider_event_id")
-            .distinct()
-            .join(self.usable_fixtures.select("kickoff").distinct(), "kickoff", "left_semi")
+            at_fixture.filter("at_fixture")
+            .drop("at_fixture")
             .join(resolved, ["kickoff", "provider_event_id"], "left_anti")
         )
 

@@ -51,3 +51,16 @@ def join_summary(
         .join(salted_summary.drop("_pieces"), [*keys, "_salt"], how)
         .drop("_salt")
     )
+
+
+def mark_members(
+    rows: DataFrame, members: DataFrame, keys: Sequence[str], spread_by: Sequence[str], flag: str
+) -> DataFrame:
+    """Add ``flag``: whether the row's key is among ``members`` (distinct keys).
+
+    The semi- or anti-join of a table whose keys may be hot: filter on the flag.
+    """
+    marked = join_summary(
+        rows, members.withColumn(flag, F.lit(True)), keys, hot_keys(rows, keys), keys, spread_by, how="left"
+    )
+    return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -176,7 +176,7 @@ def declared_team_keys(t: Tables) -> DataFrame:
 
 @query(
     "alias_target_reference",
-    """SELECT 'UNKNOWN_ALIAS_TARGET' AS code, CAST(o_custkey AS VARCHAR) AS subject, NULL AS detail FROM (SELECT DISTINCT o_custkey FROM orders)
+    """SELECT 'UNKNOWN_ALIAS_TARGET' AS code, CAST(o_custkey AS VARCHAR) AS subject, CAST(NULL AS VARCHAR) AS detail FROM (SELECT DISTINCT o_custkey FROM orders)
        WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')""",
 )
 def alias_target_reference(t: Tables) -> DataFrame:
@@ -313,7 +313,7 @@ def combined_decision_states(t: Tables) -> DataFrame:
 @query(
     "declared_plan_document",
     """WITH d AS (SELECT c_custkey AS k FROM customer)
-       SELECT code, CAST(k AS VARCHAR) AS subject, NULL AS detail FROM (
+       SELECT code, CAST(k AS VARCHAR) AS subject, CAST(NULL AS VARCHAR) AS detail FROM (
          SELECT k, 'GROUP_COUNT_DECLARED' AS code FROM d WHERE k % 5 = 0 UNION ALL SELECT k, 'CUTOFFS_DECLARED' FROM d WHERE k % 7 = 0
          UNION ALL SELECT k, 'QUERY_COUNT_DECLARED' FROM d WHERE k % 11 IN (0, 1) UNION ALL SELECT k, 'GROUP_COUNT' FROM d WHERE k % 13 = 0
          UNION ALL SELECT k, 'QUERY_COUNT' FROM d WHERE k % 17 = 0)""",
@@ -335,7 +335,7 @@ def declared_plan_document(t: Tables) -> DataFrame:
 @query(
     "declared_fixture_document",
     """WITH d AS (SELECT o_orderkey AS k FROM orders)
-       SELECT code, CAST(k AS VARCHAR) AS subject, NULL AS detail FROM (
+       SELECT code, CAST(k AS VARCHAR) AS subject, CAST(NULL AS VARCHAR) AS detail FROM (
          SELECT k, 'FIXTURE_COUNT_DECLARED' AS code FROM d WHERE k % 5 = 0 UNION ALL SELECT k, 'FIXTURE_COUNT' FROM d WHERE k % 7 = 0
          UNION ALL SELECT k, 'WEEKS_DECLARED' FROM d WHERE k % 11 = 0 UNION ALL SELECT k, 'TEAM_KEY_COUNT' FROM d WHERE k % 13 = 0
          UNION ALL SELECT k, 'TEAM_KEYS_REPEATED' FROM d WHERE k % 17 = 0 UNION ALL SELECT k, 'ALIAS_MAP' FROM d WHERE k % 19 IN (0, 1))""",
