@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from knownby.functions.scalars import state_rank
 from knownby.operators import checks as K
-from knownby.operators.decisions import combine_states
+from knownby.operators.decisions import combine_states, market_catalog
 from knownby.plans.registry import Tables, query
 
 _OFFSETS = ("T-24h", "T-1h", "T-15m")
@@ -209,8 +209,6 @@ def contiguous_fixture_index(t: Tables) -> DataFrame:
          WHEN 3 THEN 'FOOTBALL_BTTS' WHEN 4 THEN 'FOOTBALL_TEAM_TOTALS' ELSE 'FOOTBALL_CORNERS' END AS fam FROM part) GROUP BY ALL""",
 )
 def market_catalog_lookup(t: Tables) -> DataFrame:
-    from knownby.operators.decisions import market_catalog
-
     families = F.array(*[F.lit(x) for x in (
         "FOOTBALL_1X2", "FOOTBALL_TOTAL_GOALS_MAIN", "FOOTBALL_ASIAN_HANDICAP", "FOOTBALL_BTTS",
         "FOOTBALL_TEAM_TOTALS", "FOOTBALL_CORNERS",

@@ -2,13 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _struct(ddl: str) -> T.StructType:
-    return T._parse_datatype_string(ddl)  # resolved lazily: needs an active session
-
-
 SOURCE_REF = "struct<source_id string, tier string, source_version string>"
 TEMPORAL = (
     "struct<event_time timestamp, published_at timestamp, received_at timestamp, "
@@ -62,6 +55,3 @@ PLAN_DOCUMENT = (
     f"kickoff_groups array<{KICKOFF_GROUP}>, query_plan array<{PLANNED_QUERY}>"
 )
 
-
-def struct(ddl: str) -> T.StructType:
-    return _struct(ddl)

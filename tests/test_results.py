@@ -3,7 +3,6 @@ from __future__ import annotations
 from datetime import timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from knownby.operators import results as R
 from knownby.sources.text_lines import read_numbered_lines
