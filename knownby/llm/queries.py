@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from knownby.llm import ftrl_quality
+from knownby.llm import fast_minhash, ftrl_quality
 from knownby.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,8 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 def op9_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return ftrl_quality.classify(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@_query
+def op3_fast_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fast_minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), length=4)

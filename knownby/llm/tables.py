@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from knownby.session import pin_session
 
-# One Arrow batch holds whole texts; fewer rows keep a batch of long texts in bounds.
-BATCH_ROWS = "2000"
+# One Arrow batch holds whole texts; these bounds hold for long ones too.
+BATCH_ROWS, BATCH_BYTES = "2000", "16m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a given table; whatever else it has is never read."""
     pin_session(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
