@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from knownby.llm import fast_minhash, ftrl_quality
+from knownby.llm import cgk_decontaminate, fast_minhash, ftrl_quality
 from knownby.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,9 @@ def op9_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_fast_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fast_minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), length=4)
+
+
+@_query
+def op2_cgk_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return cgk_decontaminate.contaminated_windows(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
