@@ -236,16 +236,21 @@ def index_blocks(benchmark: DataFrame) -> Iterator[Index]:
         yield build_index(rows)
 
 
+def _finder(docs: DataFrame, index: Index):
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    @F.arrow_udf(f"array<{HIT}>")
+    def find(texts: pa.Array) -> pa.Array:
+        return pa.array(hits(texts, shared.value), _hit_type())
+
+    return find
+
+
 def contaminated_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start_word, n_words, edits of every item found in ``docs`` (doc_id, text)."""
     found = docs.sparkSession.createDataFrame([], "doc_id bigint, " + HIT[7:-1].replace(":", " "))
     for index in index_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        @F.arrow_udf(f"array<{HIT}>")
-        def find(texts: pa.Array, shared=shared) -> pa.Array:
-            return pa.array(hits(texts, shared.value), _hit_type())
-
+        find = _finder(docs, index)
         found = found.union(docs.select("doc_id", F.explode(find("text")).alias("hit")).select("doc_id", "hit.*"))
     return found
 
@@ -258,11 +263,5 @@ def _hit_type() -> pa.DataType:
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns."""
     for index in index_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        @F.arrow_udf("boolean")
-        def clean(texts: pa.Array, shared=shared) -> pa.Array:
-            return pa.array([not h for h in hits(texts, shared.value)], pa.bool_())
-
-        docs = docs.where(clean("text"))
+        docs = docs.where(F.size(_finder(docs, index)("text")) == 0)
     return docs
