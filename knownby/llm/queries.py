@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from knownby.llm import cgk_decontaminate, fast_minhash, ftrl_quality
+from knownby.llm import apportion_mix, cgk_decontaminate, fast_minhash, ftrl_quality, hash_tree_shards
 from knownby.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,15 @@ def op3_fast_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_cgk_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return cgk_decontaminate.contaminated_windows(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@_query
+def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return hash_tree_shards.assign(docs, hash_tree_shards.ShardTree.founded(24))
+
+
+@_query
+def op7_apportion_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return apportion_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")

@@ -14,11 +14,15 @@ from knownby.session import pin_session
 BATCH_ROWS, BATCH_BYTES = "2000", "16m"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The named columns of a given table; whatever else it has is never read."""
+def prepare(spark: SparkSession) -> None:
     pin_session(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The named columns of a given table; whatever else it has is never read."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
