@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from knownby.llm import apportion_mix, cgk_decontaminate, fast_minhash, ftrl_quality, hash_tree_shards
+from knownby.llm import apportion_mix, cgk_decontaminate, fast_minhash, ftrl_quality, hash_tree_shards, html_style_tree
 from knownby.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_apportion_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     return apportion_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@_query
+def op1_html_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_style_tree.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
