@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knownby.llm import apportion_mix, cgk_decontaminate, fast_minhash, ftrl_quality, hash_tree_shards, html_style_tree
+from knownby.llm import (
+    apportion_mix,
+    cgk_decontaminate,
+    fast_minhash,
+    ftrl_quality,
+    hash_tree_shards,
+    html_style_tree,
+    token_counts,
+)
 from knownby.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +59,9 @@ def op7_apportion_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_html_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_style_tree.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@_query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), path)
