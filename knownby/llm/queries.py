@@ -14,6 +14,7 @@ from knownby.llm import (
     ftrl_quality,
     hash_tree_shards,
     html_style_tree,
+    line_frequency,
     token_counts,
 )
 from knownby.llm.tables import table
@@ -65,3 +66,8 @@ def op1_html_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), path)
+
+
+@_query
+def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency.rate(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
