@@ -7,17 +7,16 @@ every coordinate is filled, whatever the size of the set; usually a few rounds s
 is done as soon as its bins are full. Two sets agree in a coordinate with probability equal
 to their Jaccard similarity, and the number of agreements is concentrated as for independent ones.
 
-Candidates share one of ``BANDS`` bands of ``ROWS`` coordinates. At similarity 0.8 a pair is missed
-with probability (1 - 0.8**5)**32 = 3e-6, and less above. Links are confirmed on the full sets.
-
-Exact copies of a set are one node. In a bucket, no task gets a group and no pairs are emitted at
-once: first every member is compared with the bucket's least (a star, one row per member); most
-buckets are then within one component and finished. Of those that still hold two components, small
-ones compare their remaining pairs across components, and large ones are cut by a second band: all
-members fall into sub-buckets, one per further band, in which the same two steps happen. A true pair
-shares 10 of 32 bands on average, so that it meets again in a sub-bucket with the same
-probability. What is still large and mixed after ``DEPTH`` cuts compares all its pairs across
-components, so nothing is capped.
+Candidates share one of ``BANDS`` bands of ``ROWS`` coordinates. A pair of similarity 0.8 is missed with
+probability (1 - 0.8**8)**40 = 6e-4, one of 0.85 with 3e-6. Links are confirmed on the full sets.
+
+Exact copies of a set are one node. What is emitted is never all pairs of a bucket: first every member
+is compared with one other, the bucket's least (a star, one row per member), then the members
+outside the least component with one of it. Most buckets are then within one component and done. In
+those that still hold several, members of different components are compared by size and sketch inside the join,
+whose partitions Spark splits where a bucket is large, and only pairs that can still be links come out, each in the first
+band that it shares. A pair is dismissed there if its estimate lies five standard deviations below the
+threshold. Nothing is capped.
 
 Defined cases: a null or word-less text has the empty set, links with nothing and is its own
 component; rows that share a doc_id are one document; a row without doc_id takes the component of the
@@ -37,10 +36,9 @@ from knownby.llm import words as W
 from knownby.llm.components import components
 from knownby.llm.tables import discard, stored
 
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 40, 8
 SKETCH = BANDS * ROWS
-SMALL_BUCKET = 40
-DEPTH = 2
+FIRST_BANDS, STARS = 2, 2
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ROUND_SEEDS = W.mix(np.arange(1, 2 * SKETCH + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -87,13 +85,16 @@ def _sketch_batches(length: int):
             n = np.array([len(s) for s in sets], np.int64)
             one = np.array([s.sum() for s in sets], np.uint64)
             two = np.array([np.bitwise_xor.reduce(W.mix(s + np.uint64(11))) if len(s) else 0 for s in sets], np.uint64)
-            keys = W.signed(band_keys(sketches(sets)))
+            sketch = sketches(sets)
+            keys = W.signed(band_keys(sketch))
+            low = W.mix(sketch).astype(np.uint8).view(np.int8)
             yield pa.RecordBatch.from_arrays(
                 [
                     b["doc_id"], b["row"], pa.array(n), pa.array(W.signed(W.mix(one))), pa.array(W.signed(two)),
-                    pa.ListArray.from_arrays(np.arange(len(sets) + 1) * BANDS, keys.reshape(-1)).cast(pa.list_(pa.int64())),
+                    pa.ListArray.from_arrays(np.arange(len(sets) + 1) * BANDS, keys.reshape(-1)),
+                    pa.ListArray.from_arrays(np.arange(len(sets) + 1) * SKETCH, low.reshape(-1)),
                 ],
-                ["doc_id", "row", "n_shingles", "d1", "d2", "keys"],
+                ["doc_id", "row", "n_shingles", "d1", "d2", "keys", "sketch"],
             )
 
     return run
@@ -132,83 +133,90 @@ def verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> Da
     ).distinct()
 
 
-def _buckets(rows: DataFrame, least: str) -> DataFrame:
-    """Keys with more than one member: their number and the least and greatest of a column."""
-    return rows.groupBy("key").agg(
-        F.count("*").alias("members"), F.min(least).alias("least"), F.max(least).alias("greatest")
-    ).where("least < greatest")
-
-
-def _with_component(rows: DataFrame, found: DataFrame | None, node: str = "rep", name: str = "component") -> DataFrame:
-    if found is None:
-        return rows.withColumn(name, F.col(node))
+def _with_component(rows: DataFrame, found: DataFrame, node: str = "rep", name: str = "component") -> DataFrame:
     labels = found.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
     return rows.join(labels, rows[node] == labels["_node"], "left").select(
         *rows.columns, F.coalesce("_component", node).alias(name)
     )
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components. ``rows``: key, rep, component."""
-    other = rows.select("key", F.col("rep").alias("b"), F.col("component").alias("of_b"))
-    return rows.join(other, "key").where("rep < b and component != of_b").select(
-        F.col("rep").alias("a"), "b"
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Buckets that hold more than one component: the least of them and a member of it."""
+    return rows.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("greatest"),
+        F.min_by("rep", "component").alias("center"),
+    ).where("least < greatest").drop("greatest")
+
+
+def _stars(rows: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Every member outside the least component with the center. ``rows``: key, rep, component."""
+    return rows.join(mixed, "key").where("component != least").select(
+        F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")
     ).distinct()
 
 
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a bucket and may be similar enough, by size and sketch.
+
+    ``rows``: key, band, rep, component, n_shingles, keys, sketch.
+    """
+    at = percent / 100
+    cut = at - 5 * (at * (1 - at) / SKETCH) ** 0.5
+    names = ("band", "rep", "component", "n_shingles", "keys", "sketch")
+    one, two = (rows.select("key", *[F.col(n).alias(f"{n}_{x}") for n in names]) for x in ("a", "b"))
+    equal = lambda n: F.zip_with(f"{n}_a", f"{n}_b", lambda x, y: x == y)
+    agree = F.size(F.filter(equal("sketch"), lambda x: x))
+    small, big = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
+    pair = (
+        (one["key"] == two["key"]) & (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
+        & (100 * small >= percent * big) & (F.array_position(equal("keys"), True) == F.col("band_a") + 1)
+        & (agree >= cut * SKETCH)
+    )
+    return one.join(two, pair).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+
+
 class _Links:
     """Pairs tested so far, the links among them, and the components that these make."""
 
     def __init__(self, docs: DataFrame, length: int, percent: int) -> None:
         self.docs, self.length, self.percent = docs, length, percent
         self.tested: DataFrame | None = None
-        self.links: DataFrame | None = None
-        self.components: DataFrame | None = None
+        self.found: DataFrame | None = None
 
     def test(self, pairs: DataFrame) -> None:
         """``pairs``: distinct (a, b) with a < b."""
-        for side in ("a", "b") if self.components is not None else ():
-            pairs = _with_component(pairs, self.components, side, f"of_{side}")
-        if self.components is not None:
-            pairs = pairs.where("of_a != of_b").select("a", "b").join(self.tested, ["a", "b"], "left_anti")
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = stored(pairs)
-        new = stored(verified(pairs, self.docs, self.length, self.percent))
+        links = stored(verified(pairs, self.docs, self.length, self.percent))
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
-        self.links = new if self.links is None else self.links.union(new)
-        if self.components is None or not new.isEmpty():
-            self.components = stored(components(self.links))
-
-
-def _bit(position: F.Column) -> F.Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), position)
+        if self.found is None:
+            self.found = stored(components(links))
+        elif not links.isEmpty():
+            # New links join whole components; what they join is a small graph of its own.
+            ends = _with_component(_with_component(links, self.found, "a", "of_a"), self.found, "b", "of_b")
+            joined = stored(components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))))
+            known = _with_component(self.found.select("node", F.col("component").alias("old")), joined, "old")
+            fresh = joined.join(self.found.select("node"), "node", "left_anti")
+            self.found = stored(known.select("node", "component").union(fresh))
 
 
 def linked(reps: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """(node, component) of the documents with links. ``reps``: rep, keys."""
+    """(node, component) of the documents with links. ``reps``: rep, n_shingles, keys, sketch."""
     graph = _Links(docs, length, percent)
-    bands = reps.select("rep", F.posexplode("keys").alias("band", "key")).select("rep", "key", _bit(F.col("band")).alias("used"))
-    rows = bands
-    for depth in range(DEPTH + 1):
-        buckets = _buckets(rows, "rep")
-        stars = rows.join(buckets, "key").where("rep > least")
-        graph.test(stars.select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct())
-        shared = rows.join(buckets.select("key"), "key", "left_semi")
-        members = stored(_with_component(shared, graph.components))
-        mixed = _buckets(members, "component")
-        small = mixed if depth == DEPTH else mixed.where(F.col("members") <= SMALL_BUCKET)
-        graph.test(_across(members.join(small.select("key"), "key", "left_semi")))
-        if depth == DEPTH:
-            break
-        large = stored(members.join(mixed.where(F.col("members") > SMALL_BUCKET).select("key"), "key", "left_semi"))
-        discard(members)
-        if large.isEmpty():
-            break
-        further = bands.select("rep", F.col("key").alias("other"), F.col("used").alias("bit"))
-        rows = stored(
-            large.select("rep", "key", "used").join(further, "rep").where("(used & bit) = 0")
-            .select("rep", F.expr("key ^ other").alias("key"), F.expr("used | bit").alias("used")).distinct()
-        )
-    return graph.components
+    rows = reps.select("rep", F.posexplode("keys").alias("band", "key"))
+    alone = rows.withColumn("component", F.col("rep"))
+    # One star over few bands gathers the groups of copies; all bands then meet what is left.
+    few = alone.where(F.col("band") < FIRST_BANDS)
+    graph.test(_stars(few, _mixed(few)))
+    for _ in range(STARS):
+        placed = _with_component(rows, graph.found)
+        graph.test(_stars(placed, _mixed(placed)))
+    placed = stored(_with_component(rows, graph.found))
+    rest = placed.join(_mixed(placed).select("key"), "key", "left_semi").join(reps, "rep")
+    graph.test(_across(rest, percent))
+    discard(placed)
+    return graph.found
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
@@ -219,12 +227,12 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     numbered = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
     rows = stored(numbered.mapInArrow(
         _sketch_batches(length),
-        "doc_id bigint, row bigint, n_shingles bigint, d1 bigint, d2 bigint, keys array<bigint>",
+        "doc_id bigint, row bigint, n_shingles bigint, d1 bigint, d2 bigint, keys array<bigint>, sketch array<tinyint>",
     ))
     classes = stored(rows.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.min_by("row", "doc_id").alias("row")
     ).where("rep is not null"))
-    reps = stored(rows.join(classes.select("row", "rep"), "row").select("rep", "keys"))
+    reps = stored(rows.join(classes.select("row", "rep"), "row").select("rep", "n_shingles", "keys", "sketch"))
     found = linked(reps, docs, length, percent)
     plain = rows.select("doc_id", "n_shingles", "d1", "d2")
     filled = plain.where("n_shingles > 0").join(classes.drop("row"), ["d1", "d2", "n_shingles"], "left")
