@@ -15,6 +15,7 @@ from knownby.llm import (
     hash_tree_shards,
     html_style_tree,
     line_frequency,
+    semicrf_pii,
     token_counts,
 )
 from knownby.llm.tables import table
@@ -71,3 +72,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.rate(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+@_query
+def op8_semicrf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return semicrf_pii.find_personal_data(table(spark, sf_dir, "documents", "doc_id", "text"))
