@@ -15,6 +15,7 @@ from knownby.llm import (
     hash_tree_shards,
     html_style_tree,
     line_frequency,
+    secret_forest,
     semicrf_pii,
     token_counts,
 )
@@ -77,3 +78,8 @@ def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_semicrf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semicrf_pii.find_personal_data(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@_query
+def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_forest.find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
