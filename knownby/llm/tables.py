@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,12 @@ BATCH_ROWS, BATCH_BYTES = "2000", "16m"
 
 
 def prepare(spark: SparkSession) -> None:
+    """Session settings; and local Python workers find this package wherever they are started."""
     pin_session(spark)
+    places = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in places:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *places]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 

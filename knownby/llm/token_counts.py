@@ -1,7 +1,7 @@
 """Token counts of whole texts by a two-tier lookup on the map side.
 
-The tokenizer never joins what white space separates, so a text has as many tokens as its pre-tokens
-(runs without blank, tab and line breaks) have one by one. The lengths of frequent pre-tokens are
+For a tokenizer that never joins what white space separates (``encoder`` refuses any other) a text has as
+many tokens as its pre-tokens (runs without blank, tab and line breaks) have one by one. The lengths of frequent pre-tokens are
 broadcast in a compact table of 64-bit hashes and lengths; all others are looked up in a cache that
 every Python worker keeps, and encoded by the library where that misses. Pre-tokens are never shuffled.
 
@@ -46,14 +46,22 @@ def encoder(path: str) -> Encoder:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+        encode = lambda texts: model.encode(texts, num_threads=1)
+        return _by_word(encode, path)
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return lambda texts: [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return _by_word(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], path)
+
+
+def _by_word(encode: Callable[[list[str]], list[list[int]]], path: str) -> Encoder:
+    one, two, both = encode(["one", "two", "one \t\n two"])
+    if one + two != both:
+        raise ValueError(f"{path}: its tokens depend on the white space between words")
+    return lambda texts: [len(ids) for ids in encode(texts)]
 
 
 @functools.lru_cache(maxsize=4)
