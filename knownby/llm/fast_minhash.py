@@ -15,8 +15,11 @@ is compared with one other, the bucket's least (a star, one row per member), the
 outside the least component with one of it. Most buckets are then within one component and done. In
 those that still hold several, members of different components are compared by size and sketch inside the join,
 whose partitions Spark splits where a bucket is large, and only pairs that can still be links come out, each in the first
-band that it shares. A pair is dismissed there if its estimate lies five standard deviations below the
-threshold. Nothing is capped.
+band that it shares. A pair is dismissed there if its estimate lies ``DEVIATIONS`` standard deviations below
+the threshold. Nothing is capped.
+
+Texts travel once for all documents, and are kept for those that share a bucket with another; the tests of
+links read only these.
 
 Defined cases: a null or word-less text has the empty set, links with nothing and is its own
 component; rows that share a doc_id are one document; a row without doc_id takes the component of the
@@ -37,7 +40,9 @@ from knownby.llm.components import components
 from knownby.llm.tables import discard, stored
 
 BANDS, ROWS = 40, 8
-SKETCH = BANDS * ROWS
+#: The bands use the first coordinates; estimates use them all.
+SKETCH = 512
+DEVIATIONS = 4
 FIRST_BANDS, STARS = 2, 2
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ROUND_SEEDS = W.mix(np.arange(1, 2 * SKETCH + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -69,7 +74,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
 def band_keys(sketch: np.ndarray) -> np.ndarray:
     """One key per band; the band's number is part of it."""
-    grouped = sketch.reshape(-1, BANDS, ROWS)
+    grouped = sketch[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
     key = W.mix(np.broadcast_to(np.arange(BANDS, dtype=np.uint64), grouped.shape[:2]) + np.uint64(77))
     for r in range(ROWS):
         key = W.mix(key * np.uint64(3) + grouped[:, :, r])
@@ -123,10 +128,8 @@ def _similar(length: int, percent: int):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose full sets are similar enough; texts of these documents only."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").distinct()
+def verified(pairs: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose full sets are similar enough. ``texts``: distinct doc_id, text."""
     a, b = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b"))
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(
         _similar(length, percent), "a bigint, b bigint"
@@ -161,7 +164,7 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
     ``rows``: key, band, rep, component, n_shingles, keys, sketch.
     """
     at = percent / 100
-    cut = at - 5 * (at * (1 - at) / SKETCH) ** 0.5
+    cut = at - DEVIATIONS * (at * (1 - at) / SKETCH) ** 0.5
     names = ("band", "rep", "component", "n_shingles", "keys", "sketch")
     one, two = (rows.select("key", *[F.col(n).alias(f"{n}_{x}") for n in names]) for x in ("a", "b"))
     equal = lambda n: F.zip_with(f"{n}_a", f"{n}_b", lambda x, y: x == y)
@@ -178,8 +181,8 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
 class _Links:
     """Pairs tested so far, the links among them, and the components that these make."""
 
-    def __init__(self, docs: DataFrame, length: int, percent: int) -> None:
-        self.docs, self.length, self.percent = docs, length, percent
+    def __init__(self, texts: DataFrame, length: int, percent: int) -> None:
+        self.texts, self.length, self.percent = texts, length, percent
         self.tested: DataFrame | None = None
         self.found: DataFrame | None = None
 
@@ -188,7 +191,7 @@ class _Links:
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = stored(pairs)
-        links = stored(verified(pairs, self.docs, self.length, self.percent))
+        links = stored(verified(pairs, self.texts, self.length, self.percent))
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
         if self.found is None:
             self.found = stored(components(links))
@@ -203,8 +206,12 @@ class _Links:
 
 def linked(reps: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
     """(node, component) of the documents with links. ``reps``: rep, n_shingles, keys, sketch."""
-    graph = _Links(docs, length, percent)
-    rows = reps.select("rep", F.posexplode("keys").alias("band", "key"))
+    bands = reps.select("rep", F.posexplode("keys").alias("band", "key"))
+    shared = bands.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("greatest")).where("least < greatest")
+    rows = stored(bands.join(shared.select("key"), "key", "left_semi"))
+    members = rows.select(F.col("rep").alias("doc_id")).distinct()
+    texts = stored(docs.select("doc_id", "text").join(members, "doc_id", "left_semi").distinct())
+    graph = _Links(texts, length, percent)
     alone = rows.withColumn("component", F.col("rep"))
     # One star over few bands gathers the groups of copies; all bands then meet what is left.
     few = alone.where(F.col("band") < FIRST_BANDS)
@@ -215,7 +222,8 @@ def linked(reps: DataFrame, docs: DataFrame, length: int, percent: int) -> DataF
     placed = stored(_with_component(rows, graph.found))
     rest = placed.join(_mixed(placed).select("key"), "key", "left_semi").join(reps, "rep")
     graph.test(_across(rest, percent))
-    discard(placed)
+    for kept in (placed, rows, texts):
+        discard(kept)
     return graph.found
 
 

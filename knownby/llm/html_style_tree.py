@@ -5,8 +5,8 @@ are one node of the host's tree. A node's presentation importance is the entropy
 it shows, in logs of the number of its pages m, so a node that always looks alike has none. The content
 importance of a text block is 1 - log(n) / log(m) for a text that n of m pages show, 1 if only one
 page shows it and 0 if all do. The composite importance of a node mixes both: with l child sequences,
-(1 - g**l) times the mean importance of all blocks below it plus g**l times its own. Branches of
-low composite importance are removed from each page. All hosts together make one more tree, in which
+(1 - g**l) times the mean importance of all blocks below it plus g**l times its own. A node is noise if
+it and all nodes below it have a low composite importance; such branches are removed from each page. All hosts together make one more tree, in which
 templates that many sites share stand out; a node counts by the lower of its two importances, and in
 either tree only if ``MIN_PAGES`` pages have it. Numbers and the host's own name in a text do not count.
 
@@ -75,7 +75,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME_WORD = re.compile(r"[a-z]+")
-_DIGITS = re.compile(r"\d+")
+_DIGITS, _NUMBER = re.compile(r"\d+"), re.compile(r"\d{3,}")
 
 
 @dataclass(slots=True)
@@ -107,7 +107,7 @@ def _open(tag: str, rest: str, parent: Node | None) -> Node:
             else:
                 words.update(_NAME_WORD.findall(value))
                 if name.lower() == "class":
-                    classes = sorted(_DIGITS.sub("N", value).replace("/", "_").split())
+                    classes = sorted(_NUMBER.sub("N", value).replace("/", "_").split())
     label = ".".join([tag, *classes])
     if parent is None:
         return Node(tag, label, 1, tag in NO_TEXT, tag in ARTICLE, [], ())
@@ -258,9 +258,7 @@ def _importance(counts: DataFrame, tree: list[str]) -> DataFrame:
     texts = texts.join(shown.select(*node, "pages"), node).withColumn(
         "worth", F.when(F.col("pages") > 1, F.col("shows") - F.col("n_log_n") / log_pages).otherwise(F.col("shows"))
     )
-    parts = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
-    below = texts.select(*tree, F.explode(above).alias("path"), "shows", "worth").groupBy(*node).agg(
+    below = texts.select(*tree, F.explode(_and_above("path")).alias("path"), "shows", "worth").groupBy(*node).agg(
         (F.sum("worth") / F.sum("shows")).alias("content")
     )
     weight = F.pow(F.lit(PRESENTATION), F.col("looks"))
@@ -269,6 +267,12 @@ def _importance(counts: DataFrame, tree: list[str]) -> DataFrame:
     return shown.join(below, node).select(*node, "pages", F.greatest(F.lit(0.0), mixed).alias("importance"))
 
 
+def _and_above(path: str) -> Column:
+    """The path of a node and those of all nodes above it."""
+    parts = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
+
+
 def host_of(url: Column) -> Column:
     return F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1)
 
@@ -287,7 +291,10 @@ def low_branches(pages: DataFrame) -> DataFrame:
         F.when(enough, F.col("importance")).otherwise(1.0),
         F.when(F.col("all_pages") >= MIN_PAGES, F.col("all_importance")).otherwise(1.0),
     )
-    return own.join(every, "path").where(low < LOW_IMPORTANCE).groupBy("host").agg(
+    highest = own.join(every, "path").select("host", F.explode(_and_above("path")).alias("path"), low.alias("low")).groupBy(
+        "host", "path"
+    ).agg(F.max("low").alias("highest"))
+    return highest.where(F.col("highest") < LOW_IMPORTANCE).groupBy("host").agg(
         F.sort_array(F.collect_list("path")).alias("removed")
     )
 

@@ -1,0 +1,144 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from corpus import frame, odd_rows, prose
+from knownby.llm import html_style_tree as tree
+from knownby.llm import secret_forest, semicrf_pii
+from pyspark.sql import types as T
+
+PAGES = "page_id bigint, url string, html string, host string, path string"
+
+
+def texts_of(spark, rows):
+    got = tree.main_text(spark.createDataFrame([(*r, "clash", "clash") for r in rows], PAGES)).collect()
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+    return {r["page_id"]: r["text"] for r in got}
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article><h1>T &amp; x&lt;y</h1><p>a\n  b<b>c</b> d<p>e<br>f</article><footer>no</footer>", "T & x<y\na bc d\ne f"),
+        ("<main><ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>e</table></main>", "a\nb\nc\nd\ne"),
+        ("<body><div class='sidebar-left'>no</div><div id=comments><p>no</div><p>yes</p><form>no</form>", "yes"),
+        ("<script>var a='</p>'</script><p>1 < 2 & 3</p><!-- <p>no</p> --><style>p{}</style><p>z", "1 < 2 & 3\nz"),
+        ("<p>whole</p><p>cut &am", "whole\ncut &am"),
+        ("<p>whole</p><p cla", "whole"),
+        ("<p>a</p><!-- open <p>no", "a"),
+        ("<article>in<aside>no</aside><header>kept</header></article><p>out", "in\nkept"),
+        ("<div role=navigation>no</div><div><span>a</span><i>b</i> c</div>", "ab c"),
+        ('<p title="a > b">x</p><img alt="no">', "x"),
+        ("plain text", "plain text"),
+        ("", ""),
+    ],
+)
+def test_article_text(html, text):
+    assert tree.article_text(html, frozenset()) == text
+
+
+def test_very_deep_and_very_long_pages():
+    deep = "<div>" * 20_000 + "x" + "</div>" * 20_000
+    assert tree.article_text(deep, frozenset()) == "x"
+    assert len(tree.article_text("<p>" + "word " * 200_000, frozenset())) == 999_999
+
+
+def test_low_importance_branches_go(spark):
+    """Boxes that HTML does not name: the same text on most pages of a host, article text on each."""
+    pages = [
+        (i, f"https://h{i % 3}.example/{i}", f"<body><div class=c1>Box {i % 2} of all pages</div><div class=c2><p>{prose(i, 40)}</p></div>"
+         f"<div class=c3>seen everywhere</div></body>")
+        for i in range(90)
+    ]
+    assert texts_of(spark, pages) == {i: prose(i, 40) for i in range(90)}
+
+
+def test_mirrored_articles_stay(spark):
+    pages = [(i, "http://m.example/", "<article><p>the same article on every page</p></article>") for i in range(30)]
+    assert set(texts_of(spark, pages).values()) == {"the same article on every page"}
+
+
+def test_odd_and_empty_pages(spark):
+    rows = [(1, None, None), (2, "::", ""), (3, None, "<p>a</p>"), (3, None, "<p>a</p>"), (None, "http://x", "<p>b")]
+    assert texts_of(spark, rows) == {1: "", 2: "", 3: "a", None: "b"}
+    assert texts_of(spark, []) == {}
+
+
+def reference_spans(text):
+    found = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            found.append((*m.span(), "ip"))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 12 <= len(digits) <= 19 and semicrf_pii.luhn(digits):
+            found.append((*m.span(), "card"))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            found.append((*m.span(), "phone"))
+    return sorted(found, key=lambda s: (s[0], semicrf_pii.KINDS.index(s[2])))
+
+
+def test_base_spans_against_plain_patterns():
+    rng = random.Random(4)
+    for _ in range(8_000):
+        text = "".join(rng.choice("a1 2.3@-+()4567890.@x-%é\n") for _ in range(rng.randrange(45)))
+        assert semicrf_pii.base_spans(text) == reference_spans(text)
+    assert semicrf_pii.base_spans("1" * 200_000) == [] and semicrf_pii.base_spans("a" * 200_000 + "@") == []
+
+
+def personal(i):
+    phone = f"+1 ({200 + i % 700}) 555-{1000 + i}"
+    return f"{prose(i, 12)} {(f'x.{i}@mail{i % 9}.example.com', f'10.2.{i % 250}.7', phone, '4489739769762381')[i % 4]} {prose(i + 1, 12)}"
+
+
+def test_model_adds_what_the_patterns_miss(spark):
+    rows = [(i, personal(i), "en", "s", 0, "k", 0, 0, 0) for i in range(240)]
+    rows += [
+        (900, f"{prose(1, 5)} (417) 555-2366 {prose(2, 5)}", "en", "s", 0, "k", 0, 0, 0),
+        (901, "version 2.0. of 2024-01-02 10:30, order 473696257", "en", "s", 0, "k", 0, 0, 0),
+        (902, "card 4489739769762380", "en", "s", 0, "k", 0, 0, 0),
+    ]
+    found = {r["doc_id"]: r for r in semicrf_pii.find_personal_data(frame(spark, rows)).collect()}
+    for i, text, *_ in rows:
+        base = reference_spans(text)
+        joined = ",".join(f"{k}:{a}:{b}" for a, b, k in base)
+        assert found[i]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(filter(None, joined.split(","))) <= set(found[i]["spans"].split(","))
+        assert sum(found[i][f"n_{k}"] for k in semicrf_pii.KINDS) == len(base)
+    start = rows[240][1].index("(417)")
+    assert found[900]["spans"] == f"phone:{start}:{start + 14}"
+    assert found[901]["spans"] == found[902]["spans"] == ""
+
+
+def test_personal_data_in_odd_and_empty_tables(spark):
+    rows = semicrf_pii.find_personal_data(frame(spark)).collect()
+    assert len(rows) == len(odd_rows()) and {r["spans"] for r in rows} == {""}
+    assert semicrf_pii.find_personal_data(frame(spark, [])).count() == 0
+
+
+def test_secrets(spark):
+    rng = random.Random(8)
+    key = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    low, up = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    secrets, rows = {}, []
+    for i in range(120):
+        secrets[i] = (key(40, low), f"A{key(3, 'K')}IA{key(14, up)}42", key(18, low))[i % 3] if i % 3 != 1 else "AKIA" + key(14, up) + "42"
+        shown = (f'token = "{secrets[i]}"', secrets[i], f"password={secrets[i]}")[i % 3]
+        rows.append((i, f"{prose(i, 20)} {shown} {prose(i + 1, 20)}", "en", "s", 0, "k", 0, 0, 0))
+    for i in range(120):
+        shown = (f"44897397697{i:05d}", f"src/main/module{i}/index.html", f"{'x' * 20}{i % 10}")[i % 3]
+        rows.append((500 + i, f"{prose(i, 20)} {shown} {prose(i + 1, 20)}", "en", "s", 0, "k", 0, 0, 0))
+    found = {(r["doc_id"], r["secret_sha256"]) for r in secret_forest.find_secrets(frame(spark, rows)).collect()}
+    want = {(i, hashlib.sha256(s.encode()).hexdigest()) for i, s in secrets.items()}
+    assert len(found & want) >= 0.97 * len(want) and not {d for d, _ in found} & set(range(500, 620))
+
+
+def test_secrets_in_odd_and_empty_tables(spark):
+    assert secret_forest.find_secrets(frame(spark)).count() == 0
+    empty = secret_forest.find_secrets(frame(spark, []))
+    assert empty.count() == 0 and isinstance(empty.schema["score"].dataType, T.DoubleType)
