@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from knownby.llm import words as W
 
-WALKS, SAMPLES, SAMPLED_STEPS = 3, 8, 4
+WALKS, SAMPLES, SAMPLED_STEPS = 3, 8, 3
 #: Steps sampled, by size class; an item belongs to the largest class of at most 1.5 L steps.
 CLASSES = (8, 16, 48)
 SHORTEST = 6
@@ -44,11 +44,13 @@ EDITS_PER_WORD = 5
 BLOCK_ITEMS = 5_000
 _POSITIONS = 1 << 15
 _FILTER_BITS = 20
+_FACTOR, _SHIFT = np.uint32(0x9E3779B1), np.uint32(32 - _FILTER_BITS)
 HIT = "struct<item_id:bigint,start_word:int,n_words:int,edits:int>"
 
 _rng = np.random.default_rng(20)
+#: A sample has one random step out of each equal part of the walk, so that it sees different words.
 _CHOSEN = {
-    (w, t): [np.sort(_rng.choice(t, SAMPLED_STEPS, replace=False)) for _ in range(SAMPLES)]
+    (w, t): [np.arange(SAMPLED_STEPS) * (t // SAMPLED_STEPS) + _rng.integers(t // SAMPLED_STEPS, size=SAMPLED_STEPS) for _ in range(SAMPLES)]
     for w in range(WALKS) for t in CLASSES
 }
 
@@ -56,33 +58,31 @@ _CHOSEN = {
 def walks(hashes: np.ndarray, at: np.ndarray, walk: int, steps: set[int]) -> dict[int, np.ndarray]:
     """For the walk that starts at each of the words ``at``: the pointer in each of ``steps``.
 
-    The pointer stops on the last word of ``hashes``.
+    The pointer stops on the last word of ``hashes``; walks have at most 64 steps.
     """
-    bits = W.mix(hashes ^ W.seed_of(walk, 31))
-    pointer, last = at.copy(), len(hashes) - 1
-    move = np.empty(len(at), np.uint64)
+    # One byte per word and step: how far word * 64 + step moves, 1 or 65.
+    bits = W.mix(hashes ^ W.seed_of(walk, 31)).view(np.uint8)
+    moves = np.unpackbits(bits) * np.uint8(64) + np.uint8(1)
+    place, last, move = at * 64, len(hashes) - 1, np.empty(len(at), np.uint8)
     seen = {}
     for step in range(max(steps) + 1):
         if step in steps:
-            seen[step] = pointer.copy()
-        np.take(bits, pointer, out=move, mode="clip")
-        np.right_shift(move, np.uint64(step), out=move)
-        np.bitwise_and(move, np.uint64(1), out=move)
-        pointer += move.view(np.int64)
-    for p in seen.values():
-        np.minimum(p, last, out=p)
+            seen[step] = np.minimum(place >> 6, last)
+        np.take(moves, place, out=move, mode="clip")
+        place += move
     return seen
 
 
 def _keys(hashes: np.ndarray, seen: dict[int, np.ndarray], walk: int, steps: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(number of the sample, key of every start); a key binds walk, class and sample."""
-    words = {s: hashes[p] for s, p in seen.items() if s < steps}
+    """(number of the sample, 32-bit key of every start); candidates are confirmed, so keys may meet."""
+    short = hashes.astype(np.uint32)
+    words = {s: short[p] for s, p in seen.items() if s < steps}
     for k, chosen in enumerate(_CHOSEN[walk, steps]):
-        key = np.full(len(next(iter(words.values()))), W.seed_of(walk, steps, k))
-        for s in chosen:
-            key *= np.uint64(0x9E3779B97F4A7C15)
+        key = words[chosen[0]] * _FACTOR
+        for s in chosen[1:]:
             key += words[s]
-        yield k, key ^ (key >> np.uint64(29))
+            key *= _FACTOR
+        yield k, key
 
 
 @dataclass
@@ -123,16 +123,16 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
     for at, samples in found.items():
         index.tables[at] = []
         for pairs in samples:
-            keys, numbers = _sorted(pairs)
+            keys, numbers = _sorted(pairs, np.uint32)
             open_ = np.zeros(1 << _FILTER_BITS, bool)
-            open_[keys >> np.uint64(64 - _FILTER_BITS)] = True
+            open_[keys >> _SHIFT] = True
             index.tables[at].append((open_, keys, numbers))
-    index.short = {n: _sorted(pairs) for n, pairs in exact.items()}
+    index.short = {n: _sorted(pairs, np.uint64) for n, pairs in exact.items()}
     return index
 
 
-def _sorted(pairs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.array([k for k, _ in pairs], np.uint64)
+def _sorted(pairs: list[tuple[int, int]], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.array([k for k, _ in pairs], kind)
     order = np.argsort(keys, kind="stable")
     return keys[order], np.array([n for _, n in pairs], np.int64)[order]
 
@@ -151,7 +151,6 @@ def _candidates(w: W.Words, index: Index) -> np.ndarray:
     for n, (table, numbers) in index.short.items():
         runs, at = W.word_runs(w, n)
         found.append(_looked_up(runs, at, table, numbers))
-    shift = np.uint64(64 - _FILTER_BITS)
     for low in range(0, len(w.hashes), _POSITIONS):
         # A walk of 48 steps never leaves the words that follow within the slice.
         near = w.hashes[low : low + _POSITIONS + max(CLASSES)]
@@ -165,7 +164,7 @@ def _candidates(w: W.Words, index: Index) -> np.ndarray:
             for t in classes:
                 for k, key in _keys(near, seen, walk, t):
                     open_, table, numbers = index.tables[walk, t][k]
-                    maybe = np.flatnonzero(open_[key >> shift])
+                    maybe = np.flatnonzero(open_[key >> _SHIFT])
                     if len(maybe):
                         found.append(_looked_up(key[maybe], maybe + low, table, numbers))
     return np.unique(np.concatenate(found), axis=0)
@@ -212,7 +211,15 @@ def hits(texts: pa.Array, index: Index) -> list[list[dict]]:
     for piece in W.pieces(pc.utf8_lower(texts)):
         w = W.words(piece, W.ALNUM)
         best: dict[tuple[int, int], tuple] = {}
-        for number, text, at, window in _likely(w, index):
+        likely = list(_likely(w, index))
+        for number, text, at, window in likely:
+            item = index.items[number]
+            if np.array_equal(window[: len(item)], item):
+                best.setdefault((text, number), (0, at - int(w.first_word[text]), len(item)))
+        whole = set(best)
+        for number, text, at, window in likely:
+            if (text, number) in whole:
+                continue
             edits, n = edits_to_prefix(index.items[number], window)
             if edits <= allowed_edits(index.items[number]):
                 new = (edits, at - int(w.first_word[text]), n)
