@@ -1,8 +1,9 @@
 """Market coverage of provider snapshots, from one row per offered outcome.
 
-Outcome rows: snapshot_id, provider_event_id, home_team, away_team, bookmaker, market_no,
-market_key, outcome_name, price, point. A bookmaker without markets has null market_key;
-an event without bookmakers has null bookmaker.
+Outcome rows: snapshot_id, provider_event_id, home_team, away_team, bookmaker_no, bookmaker,
+market_no, market_key, outcome_name, price, point. A bookmaker without markets has null
+market_key; an event without bookmakers has null bookmaker and bookmaker_no. Entries with the
+same bookmaker key stay apart by their number.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def _any(condition: Column) -> Column:
 def market_states(outcomes: DataFrame, event: Sequence[str] = EVENT) -> DataFrame:
     """Per market offer: which of the needed outcomes it names."""
     name = F.col("outcome_name")
-    return outcomes.groupBy(*event, "bookmaker", "market_no", "market_key").agg(
+    return outcomes.groupBy(*event, "bookmaker_no", "market_no", "market_key").agg(
         _any(name == F.col("home_team")).alias("has_home"),
         _any(name == F.col("away_team")).alias("has_away"),
         _any(name == "Draw").alias("has_draw"),
@@ -36,12 +37,12 @@ def event_market_summary(outcomes: DataFrame, event: Sequence[str] = EVENT) -> D
     """Per event: bookmakers, their h2h / complete h2h / totals offers and totals points."""
     h2h = F.col("market_key") == "h2h"
     whole = h2h & F.col("has_home") & F.col("has_away") & F.col("has_draw")
-    books = market_states(outcomes, event).groupBy(*event, "bookmaker").agg(
+    books = market_states(outcomes, event).groupBy(*event, "bookmaker_no").agg(
         _any(h2h).alias("h2h"),
         _any(whole).alias("complete"),
         _any(F.col("market_key") == "totals").alias("totals"),
     )
-    there = F.col("bookmaker").isNotNull()
+    there = F.col("bookmaker_no").isNotNull()
     counts = books.groupBy(*event).agg(
         F.count(F.when(there, 1)).alias("bookmaker_count"),
         F.count(F.when(F.col("h2h"), 1)).alias("h2h_bookmaker_count"),

@@ -66,6 +66,11 @@ def classify_lines(lines: DataFrame) -> DataFrame:
         return part(index, *kinds).try_cast("int")
 
     match = ("MODERN", "LEGACY")
+
+    def team(index: int) -> Column:
+        """Without outer white space of any kind; a blank name is null and a violation."""
+        return F.nullif(F.regexp_replace(part(index, *match), r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""), F.lit(""))
+
     return found.select(
         "file",
         "line_number",
@@ -76,8 +81,8 @@ def classify_lines(lines: DataFrame) -> DataFrame:
         number(2, "DATE").alias("day"),
         number(3, "DATE").alias("date_year"),
         part(1, *match).alias("time"),
-        part(2, *match).alias("home_team"),
-        part(3, *match).alias("away_team"),
+        team(2).alias("home_team"),
+        team(3).alias("away_team"),
         number(4, *match).alias("home_goals"),
         number(5, *match).alias("away_goals"),
         number(6, *match).alias("home_ht_goals"),
@@ -226,6 +231,7 @@ def match_rows(state: DataFrame, zone: str) -> DataFrame:
     return (
         state.filter(_IS_MATCH)
         .filter("matchday is not null and date_local is not null and kickoff_local is not null")
+        .filter("home_team is not null and away_team is not null")
         .withColumn("_wall", wall)
         .select(
             "file",
@@ -259,6 +265,7 @@ def line_violations(state: DataFrame) -> DataFrame:
         .when(is_match & F.col("matchday").isNull(), "MATCH_BEFORE_MATCHDAY")
         .when(is_match & ~F.col("has_date"), "MATCH_BEFORE_DATE")
         .when(is_match & F.col("kickoff_local").isNull(), "NO_KICKOFF_TIME")
+        .when(is_match & (F.col("home_team").isNull() | F.col("away_team").isNull()), "EMPTY_TEAM_NAME")
     )
     return state.select("file", "line_number", code.alias("code")).filter("code is not null")
 

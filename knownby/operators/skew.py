@@ -17,7 +17,11 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], hot_parts: int = HOT_PARTS) -
 
     Reads only the key columns; the counts are combined inside the map tasks.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return hot_of_sizes(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), keys, hot_parts)
+
+
+def hot_of_sizes(sizes: DataFrame, keys: Sequence[str], hot_parts: int = HOT_PARTS) -> DataFrame:
+    """``hot_keys`` where the rows per key (``_rows``) are known already."""
     share = F.col("_rows") * F.lit(hot_parts)
     total = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0))).scalar()
     return sizes.filter(share > total).select(*keys, F.ceil(share / total).cast("int").alias("_pieces"))

@@ -293,7 +293,7 @@ def order_assessments(t: Tables) -> DataFrame:
 @query(
     "combined_decision_states",
     """WITH d AS (SELECT user_id, CASE event_type WHEN 'signup' THEN 'QUALIFIED' WHEN 'click' THEN 'NO_BET' WHEN 'view' THEN 'WAIT'
-         WHEN 'purchase' THEN 'REVIEW' ELSE 'BLOCKED' END AS state FROM events WHERE value > 30)
+         WHEN 'purchase' THEN 'REVIEW' ELSE 'BLOCKED' END AS state FROM events)
        SELECT user_id, CASE max(CASE state WHEN 'QUALIFIED' THEN 0 WHEN 'NO_BET' THEN 1 WHEN 'WAIT' THEN 2 WHEN 'REVIEW' THEN 3 ELSE 4 END)
          WHEN 0 THEN 'QUALIFIED' WHEN 1 THEN 'NO_BET' WHEN 2 THEN 'WAIT' WHEN 3 THEN 'REVIEW' ELSE 'BLOCKED' END AS state,
          CAST(max(CASE state WHEN 'QUALIFIED' THEN 0 WHEN 'NO_BET' THEN 1 WHEN 'WAIT' THEN 2 WHEN 'REVIEW' THEN 3 ELSE 4 END) AS INTEGER) AS precedence
@@ -304,7 +304,7 @@ def combined_decision_states(t: Tables) -> DataFrame:
     state = F.lit(None).cast("string")
     for event, name in names.items():
         state = F.when(F.col("event_type") == event, F.lit(name)).otherwise(state)
-    rows = t.events.filter("value > 30").select("user_id", state.alias("state"))
+    rows = t.events.select("user_id", state.alias("state"))
     return combine_states(rows, ["user_id"]).withColumn("precedence", state_rank(F.col("state")))
 
 

@@ -16,6 +16,7 @@ _LINE = r"""CASE
   WHEN k % 400 = 0 THEN '# Date       Fri Aug 16 ' || (2000 + (k // 400) % 20) || ' - Sun May 25 2030 (282d)'
   WHEN k % 40 = 1 THEN '▪ Matchday ' || ((k // 40) % 38 + 1)
   WHEN k % 8 = 2 THEN '  Sat ' || MONTH || ' ' || ((k // 8) % 30 + 1) || CASE WHEN (k // 8) % 30 = 7 THEN ' ' || (2010 + (k // 8) % 10) ELSE '' END
+  WHEN k % 2 = 0 AND k % 101 = 5 THEN '    15:00     v Côte ' || (user_id + 1) || '   ' || SCORE || HALF
   ELSE CASE WHEN k % 2 = 0 THEN '    ' || TIME || 'Team ' || user_id || ' FC  v Côte ' || (user_id + 1) || '   ' || SCORE || HALF
        ELSE '    ' || TIME || 'Team ' || user_id || ' FC   ' || SCORE || HALF || '  Côte ' || (user_id + 1) END END"""
 _TIME = "CASE WHEN k % 8 = 3 OR k % 5 = 0 THEN (k % 10 + 10) || ':' || CASE WHEN k % 4 < 2 THEN '00' ELSE '30' END || '  ' ELSE '' END"
@@ -49,7 +50,8 @@ kd AS (SELECT *, CASE WHEN text LIKE '# Date%' THEN 'H' WHEN text LIKE '▪%' TH
 pa AS (SELECT *, CASE WHEN kind = 'H' THEN 2000 + (k // 400) % 20 WHEN kind = 'D' AND (k // 8) % 30 = 7 THEN 2010 + (k // 8) % 10 END AS anchor,
          CASE WHEN kind = 'D' AND k % 1600 <> 802 THEN (k // 8) % 12 + 1 END AS mon, CASE WHEN kind = 'D' THEN (k // 8) % 30 + 1 END AS dy,
          CASE WHEN kind = 'M' THEN (k // 40) % 38 + 1 END AS md,
-         CASE WHEN kind = 'X' AND (k % 8 = 3 OR k % 5 = 0) THEN (k % 10 + 10) || ':' || CASE WHEN k % 4 < 2 THEN '00' ELSE '30' END END AS tm
+         kind = 'X' AND k % 2 = 0 AND k % 101 = 5 AS blank,
+         CASE WHEN kind = 'X' AND k % 2 = 0 AND k % 101 = 5 THEN '15:00' WHEN kind = 'X' AND (k % 8 = 3 OR k % 5 = 0) THEN (k % 10 + 10) || ':' || CASE WHEN k % 4 < 2 THEN '00' ELSE '30' END END AS tm
        FROM kd WHERE kind IS NOT NULL),
 w1 AS (SELECT *, last_value(CASE WHEN kind = 'H' THEN 0 WHEN kind = 'D' THEN mon END IGNORE NULLS) OVER
          (PARTITION BY file ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM pa),
@@ -67,7 +69,7 @@ mt AS (SELECT file, CAST(matchday AS INTEGER) AS matchday, strftime(date_local,
          'Team ' || user_id || ' FC' AS home_team, 'Côte ' || (user_id + 1) AS away_team, CAST(k % 5 AS INTEGER) AS home_goals, CAST(k % 4 AS INTEGER) AS away_goals,
          CASE WHEN k % 3 = 0 THEN CAST(k % 2 AS INTEGER) END AS home_ht_goals, CASE WHEN k % 3 = 0 THEN 0 END AS away_ht_goals,
          event_id AS source_line_number, CASE WHEN k % 2 = 0 THEN 'HOME_V_AWAY_SCORE' ELSE 'HOME_SCORE_AWAY' END AS source_line_format
-       FROM w6 WHERE kind = 'X' AND matchday IS NOT NULL AND date_local IS NOT NULL AND kickoff_local IS NOT NULL)
+       FROM w6 WHERE kind = 'X' AND NOT blank AND matchday IS NOT NULL AND date_local IS NOT NULL AND kickoff_local IS NOT NULL)
 """
 )
 
@@ -89,7 +91,8 @@ def result_text_matches(t: Tables) -> DataFrame:
     "result_text_violations",
     _STATE + """SELECT file, event_id AS line_number, CASE WHEN kind = 'D' AND mon IS NULL THEN 'UNSUPPORTED_MONTH' WHEN kind = 'D' AND yr IS NULL THEN 'YEAR_UNKNOWN'
       WHEN kind = 'D' AND dt IS NULL THEN 'IMPOSSIBLE_DATE' WHEN kind = 'X' AND matchday IS NULL THEN 'MATCH_BEFORE_MATCHDAY'
-      WHEN kind = 'X' AND date_line IS NULL THEN 'MATCH_BEFORE_DATE' WHEN kind = 'X' AND kickoff_local IS NULL THEN 'NO_KICKOFF_TIME' END AS code FROM w6
+      WHEN kind = 'X' AND date_line IS NULL THEN 'MATCH_BEFORE_DATE' WHEN kind = 'X' AND kickoff_local IS NULL THEN 'NO_KICKOFF_TIME'
+      WHEN blank THEN 'EMPTY_TEAM_NAME' END AS code FROM w6
       WHERE code IS NOT NULL""",
 )
 def result_text_violations(t: Tables) -> DataFrame:

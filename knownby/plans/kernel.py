@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from knownby.domains import DISPOSITIONS, REJECTION_REASONS
 from knownby.operators.asof import select_as_of
 from knownby.operators.eligibility import evaluate_eligibility, known_at_violation
 from knownby.operators.manifest import (
@@ -14,9 +15,11 @@ from knownby.operators.manifest import (
     audit,
     disposition_counts,
     eligibility_rules,
+    manifest_table,
     materialize,
     reason_counts,
     replay_difference,
+    verify_replay,
 )
 from knownby.operators.rules import violation_rows
 from knownby.plans.registry import Tables, query
@@ -280,9 +283,20 @@ ol AS (SELECT cutoff_id, sha256('{"logical_key":"' || logical_key || '","selecte
 tot AS (SELECT cutoff_id, CAST(sum(input_count) AS BIGINT) AS input_record_count,
    CAST(sum(distinct_count) AS BIGINT) AS decision_count, count(*) AS key_count FROM outc GROUP BY cutoff_id)
 SELECT tot.cutoff_id, input_record_count, decision_count, key_count, orr.root AS outcomes_root, dr.root AS decisions_root,
-  sha256(concat_ws('|', CAST(epoch_us(TIMESTAMP '1998-07-01') AS VARCHAR), repeat('0', 40), 'SNAPSHOT', 'lineitem', '1',
-    CAST(input_record_count AS VARCHAR), orr.root, dr.root)) AS content_hash
-FROM tot JOIN dr ON tot.cutoff_id = dr.cutoff_id JOIN orr ON tot.cutoff_id = orr.cutoff_id"""
+  dc.counts AS dispositions, rc.counts AS reasons,
+  sha256('{"code_version":"' || repeat('0', 40) || '","dataset_ref":{"identifier":"lineitem","kind":"SNAPSHOT","version":"1"},"decision_count":'
+    || decision_count || ',"decision_cutoff_at":"1998-07-01T00:00:00+00:00","decisions_root":"' || dr.root || '","disposition_counts":{' || dc.counts
+    || '},"input_record_count":' || input_record_count || ',"key_count":' || key_count || ',"outcomes_root":"' || orr.root
+    || '","reason_counts":{' || rc.counts || '}}') AS content_hash
+FROM (SELECT string_agg('"' || disposition || '":' || n, ',' ORDER BY disposition) AS counts FROM (
+    SELECT d.disposition, count(x.record_digest) AS n FROM """ + _DISPOSITION_DIM + r""" LEFT JOIN dec x ON x.disposition = d.disposition GROUP BY ALL)) dc,
+  (SELECT string_agg('"' || reason || '":' || n, ',' ORDER BY reason) AS counts FROM (
+    SELECT d.reason, count(x.record_digest) AS n FROM """ + _REASON_DIM + r""" LEFT JOIN ev2 x ON contains(x.reasons, d.reason) GROUP BY ALL)) rc,
+  tot JOIN dr ON tot.cutoff_id = dr.cutoff_id JOIN orr ON tot.cutoff_id = orr.cutoff_id"""
+
+
+def _listed(counts: str, names: tuple[str, ...]):
+    return F.concat_ws(",", *[F.format_string(f'"{n}":%d', F.col(counts)[n]) for n in sorted(names)])
 
 
 @query("pit_manifest", _MANIFEST_SQL)
@@ -290,7 +304,8 @@ def pit_manifest(t: Tables) -> DataFrame:
     made = materialize(lineitem_observations(t), ONE_CUTOFF, CODE_VERSION, DATASET)
     return made.manifest.select(
         "cutoff_id", "input_record_count", "decision_count", "key_count", "outcomes_root",
-        "decisions_root", "content_hash",
+        "decisions_root", _listed("disposition_counts", DISPOSITIONS).alias("dispositions"),
+        _listed("reason_counts", REJECTION_REASONS).alias("reasons"), "content_hash",
     )
 
 
@@ -312,6 +327,43 @@ def pit_replay_difference(t: Tables) -> DataFrame:
     return replay_difference(recorded.decisions, replayed.decisions)
 
 
+@query(
+    "pit_manifest_counts",
+    _THREE + f"""SELECT c.cutoff_id, 'disposition' AS kind, d.disposition AS name, count(x.record_digest) AS n
+      FROM (SELECT cutoff_id FROM cuts UNION ALL SELECT 'unused') c CROSS JOIN {_DISPOSITION_DIM}
+      LEFT JOIN dec x ON x.cutoff_id = c.cutoff_id AND x.disposition = d.disposition GROUP BY ALL
+      UNION ALL SELECT c.cutoff_id, 'reason', d.reason, count(x.record_digest)
+      FROM (SELECT cutoff_id FROM cuts UNION ALL SELECT 'unused') c CROSS JOIN {_REASON_DIM}
+      LEFT JOIN ev2 x ON x.cutoff_id = c.cutoff_id AND contains(x.reasons, d.reason) GROUP BY ALL""",
+)
+def pit_manifest_counts(t: Tables) -> DataFrame:
+    """Counts in the manifest, also of a cutoff for which nothing was decided."""
+    made = select_as_of(lineitem_observations(t), THREE_CUTOFFS)
+    manifest = manifest_table(
+        made.decisions, made.outcomes, CODE_VERSION, DATASET, cutoffs=[*THREE_CUTOFFS, ("unused", CUTOFF)]
+    )
+    counts = [
+        F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("name"), F.col(column)[n].alias("n"))
+        for kind, column, names in (
+            ("disposition", "disposition_counts", DISPOSITIONS), ("reason", "reason_counts", REJECTION_REASONS)
+        )
+        for n in names
+    ]
+    return manifest.select("cutoff_id", F.inline(F.array(*counts)))
+
+
+@query(
+    "pit_verify_replay",
+    """SELECT 'y1997' AS cutoff_id, 'REPLAY_MISMATCH' AS code WHERE (SELECT count(*) FROM lineitem) > 0""",
+)
+def pit_verify_replay(t: Tables) -> DataFrame:
+    """Replayed from the manifest alone; one row claims another code version than it was sealed with."""
+    observations = lineitem_observations(t)
+    manifest = materialize(observations, THREE_CUTOFFS, CODE_VERSION, DATASET).manifest
+    other = F.when(F.col("cutoff_id") == "y1997", "f" * 40).otherwise(F.col("code_version"))
+    return verify_replay(manifest.withColumn("code_version", other), observations).select("cutoff_id", "code")
+
+
 @query(
     "pit_audit",
     _ONE + """SELECT cutoff_id, logical_key, 'SELECTION_MISMATCH' AS code, 'selected decision matches outcome' AS detail

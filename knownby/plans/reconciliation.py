@@ -269,6 +269,7 @@ def item_odds(t: Tables, keep: dict[str, str] | None = None) -> DataFrame:
         F.concat(F.lit("ev-"), event).alias("provider_event_id"),
         F.concat(F.lit("Home "), event).alias("home_team"),
         F.concat(F.lit("Away "), event).alias("away_team"),
+        (F.col("l_suppkey") % 4).cast("int").alias("bookmaker_no"),
         (F.col("l_suppkey") % 4).cast("string").alias("bookmaker"),
         F.when(n <= 4, 0).otherwise(1).alias("market_no"),
         F.when(n <= 4, "h2h").otherwise("totals").alias("market_key"),
@@ -337,17 +338,20 @@ def snapshot_coverage(t: Tables) -> DataFrame:
 def snapshot_payload_coverage(t: Tables) -> DataFrame:
     """Nested payload text -> envelope -> outcome rows -> event summary.
 
-    The event id occurs twice in every payload; the first copy is a decoy that must lose.
+    The event id occurs twice in every payload; the first copy is a decoy that must lose. In every
+    fifth payload all bookmakers share a key and complete a market only together, which does not
+    count; in the next ones the key is missing.
     """
     h2h = """'{"key":"h2h","outcomes":[{"name":"H","price":2.0},{"name":"A","price":3.5}' || CASE WHEN shape = 0 THEN ',{"name":"Draw","price":3}' ELSE '' END || ']}'"""
     totals = """'{"key":"totals","outcomes":[{"name":"Over","price":1.9,"point":2.5},{"name":"Exact","point":9},{"name":"Under","price":1.9,"point":' || CASE WHEN shape = 3 THEN '3.5' ELSE '"n/a"' END || '}]}'"""
-    market = f"CASE shape WHEN 1 THEN {h2h} || ',' || {totals} WHEN 3 THEN {totals} ELSE {h2h} END"
+    half = """'{"key":"h2h","outcomes":[' || CASE i WHEN 1 THEN '{"name":"H","price":2.0},{"name":"Draw","price":3}' ELSE '{"name":"A","price":3.5}' END || ']}'"""
+    market = f"CASE WHEN shape = 2 AND k % 5 = 0 THEN {half} ELSE CASE shape WHEN 1 THEN {h2h} || ',' || {totals} WHEN 3 THEN {totals} ELSE {h2h} END END"
     book = f"""'{{"key":"b","markets":[' || {market} || ']}}'"""
     body = F.expr(
         f"""'{{"timestamp":"2024-01-01T00:00:00Z","next_timestamp":"2024-01-01T00:05:00Z","data":['
             || '{{"id":"e' || k || '","home_team":"decoy","away_team":"A","bookmakers":[{{"key":"z"}},{{"key":"y"}},{{"key":"x"}},{{"key":"w"}}]}},'
             || '{{"id":"e' || k || '","home_team":"H","away_team":"A","bookmakers":'
-            || CASE WHEN books = 0 THEN '"none"' ELSE '[' || array_join(transform(sequence(1, books), i -> replace({book}, '"b"', '"b' || i || '"')), ',') || ']' END
+            || CASE WHEN books = 0 THEN '"none"' ELSE '[' || array_join(transform(sequence(1, books), i -> replace({book}, '"key":"b"', CASE k % 5 WHEN 0 THEN '"key":"b"' WHEN 1 THEN '"title":"b"' ELSE '"key":"b' || i || '"' END)), ',') || ']' END
             || '}}]}}'"""
     )
     payloads = t.orders.selectExpr(

@@ -51,24 +51,7 @@ def with_instants(df: DataFrame) -> DataFrame:
     )
 
 
-# Parquet splits no finer than a row group, so a small file is one task however many cores
-# wait. Below this many input splits (128 MB each by default, so 4 GB at most) dealing the
-# rows out costs less than leaving the cores idle; anything larger is left as it is.
-FEW_SPLITS = 32
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
-
-
 def load_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     raw = spark.read.parquet(os.path.join(directory, f"{name}.parquet"))
-    return with_instants(spread_small_input(raw))
-
+    return with_instants(raw)
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> None:
-    """Use the cluster's shared checkpoint folder; ``fallback`` serves only local tests."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(fallback)

@@ -80,9 +80,13 @@ def outcome_rows(payload_envelopes: DataFrame, keep: list[str]) -> DataFrame:
     """Envelope -> one row per event x bookmaker x market x outcome.
 
     Outer at every level, so an event without bookmakers still counts as seen. When an
-    event id repeats in one payload the last one is used, as in a keyed lookup. The
-    envelope's next_timestamp is never read here.
+    event id repeats in one payload the last one is used, as in a keyed lookup. Bookmakers
+    are told apart by their position: two entries may share a key. The envelope's
+    next_timestamp is never read here.
     """
+    above = [
+        *keep, "provider_snapshot_at", "provider_event_id", "commence_time", "home_team", "away_team", "bookmaker_no",
+    ]
     event, book, market, outcome = (F.col(c) for c in ("event", "book", "market", "outcome"))
     placed = F.array_sort(
         F.transform(
@@ -101,9 +105,7 @@ def outcome_rows(payload_envelopes: DataFrame, keep: list[str]) -> DataFrame:
         payload_envelopes.filter("code is null")
         .withColumn("placed", placed)
         .select(*keep, "provider_snapshot_at", F.explode(last_of_id).alias("event"))
-        .select(*keep, "provider_snapshot_at", "event", F.explode_outer(items(_part(event, "bookmakers"))).alias("book"))
-        .select("*", F.posexplode_outer(items(_part(book, "markets"))).alias("market_no", "market"))
-        .select("*", F.explode_outer(items(_part(market, "outcomes"))).alias("outcome"))
+        # What a level says is read before the next one is exploded, so no document rides along.
         .select(
             *keep,
             "provider_snapshot_at",
@@ -111,11 +113,30 @@ def outcome_rows(payload_envelopes: DataFrame, keep: list[str]) -> DataFrame:
             text_field(event, "commence_time").alias("commence_time"),
             text_field(event, "home_team").alias("home_team"),
             text_field(event, "away_team").alias("away_team"),
+            F.posexplode_outer(items(_part(event, "bookmakers"))).alias("bookmaker_no", "book"),
+        )
+        .select(
+            *above,
             F.when(book.isNotNull(), F.coalesce(text_field(book, "key"), F.lit(""))).alias("bookmaker"),
             text_field(book, "last_update").alias("bookmaker_last_update"),
+            F.posexplode_outer(items(_part(book, "markets"))).alias("market_no", "market"),
+        )
+        .select(
+            *above,
+            "bookmaker",
+            "bookmaker_last_update",
             "market_no",
             text_field(market, "key").alias("market_key"),
             text_field(market, "last_update").alias("market_last_update"),
+            F.explode_outer(items(_part(market, "outcomes"))).alias("outcome"),
+        )
+        .select(
+            *above,
+            "bookmaker",
+            "bookmaker_last_update",
+            "market_no",
+            "market_key",
+            "market_last_update",
             text_field(outcome, "name").alias("outcome_name"),
             number_field(outcome, "price").alias("price"),
             number_field(outcome, "point").alias("point"),
