@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -69,17 +70,31 @@ def error_by_agreement(agreed: DataFrame, outcomes: DataFrame, fixture: Sequence
     )
 
 
-# P(Poisson(1) <= k) for k = 0..7; the rest of the mass counts as 8.
-_POISSON_ONE = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-                0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253)
+def _poisson_one() -> tuple[float, ...]:
+    """P(Poisson(1) <= k) for k = 0, 1, ... up to where doubles reach 1."""
+    found, term = [], math.exp(-1.0)
+    while not found or found[-1] < 1.0 and term > 0.0:
+        found.append(math.fsum([*found[-1:], term]))
+        term /= len(found)
+        if len(found) > 1 and found[-1] == found[-2]:
+            found.pop()
+            break
+    return tuple(found)
+
+
+POISSON_ONE = _poisson_one()
 
 
 def poisson_weight(unit: Column, replicate: Column, seed: int) -> Column:
-    """Bootstrap weight of a unit in a replicate, fixed by (unit, replicate, seed)."""
-    u = F.pmod(F.xxhash64(unit, replicate, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    weight = F.lit(len(_POISSON_ONE))
-    for k in range(len(_POISSON_ONE) - 1, -1, -1):
-        weight = F.when(u < _POISSON_ONE[k], k).otherwise(weight)
+    """Bootstrap weight of a unit in a replicate, fixed by (unit, replicate, seed).
+
+    The uniform number is the first 52 bits of an md5 digest, which other engines have too.
+    """
+    digest = F.md5(F.concat_ws(":", unit.cast("string"), replicate.cast("string"), F.lit(str(seed))).cast("binary"))
+    u = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
+    weight = F.lit(len(POISSON_ONE))
+    for k in range(len(POISSON_ONE) - 1, -1, -1):
+        weight = F.when(u < POISSON_ONE[k], k).otherwise(weight)
     return weight
 
 

@@ -27,6 +27,7 @@ def team_matches(matches: DataFrame) -> DataFrame:
 def form_features(teams: DataFrame, window: int, congestion_days: int, block_days: int = 1) -> DataFrame:
     """Form over the last ``window`` matches, rest days and congestion: earlier matches only.
 
+    Earlier is strictly before the instant: of matches that begin together none knows another.
     The order of a team's matches is (event_time, match_id); ``block_days`` cuts a team's
     history into blocks for the running count.
     """
@@ -43,6 +44,7 @@ def form_features(teams: DataFrame, window: int, congestion_days: int, block_day
             "previous_match_at": F.max("event_time"),
         },
     ).drop("_block")
+    formed = _as_first_of_instant(formed, ["team"], [c for c in formed.columns if c not in teams.columns])
     rested = formed.withColumn(
         "rest_days",
         (F.unix_micros("event_time") - F.unix_micros("previous_match_at")) / F.lit(86_400_000_000.0),
@@ -52,8 +54,14 @@ def form_features(teams: DataFrame, window: int, congestion_days: int, block_day
     )
 
 
+def _as_first_of_instant(df: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
+    """What the first match of an instant has before it holds for all matches of that instant."""
+    together = Window.partitionBy(*group, "event_time").orderBy("match_id")
+    return df.withColumns({c: F.first(c).over(together) for c in columns})
+
+
 def table_before(teams: DataFrame, block_days: int = 1) -> DataFrame:
-    """Season points, goal difference and games played before every match of a team."""
+    """Season points, goal difference and games played strictly before every match of a team."""
     blocked = teams.withColumn("_block", time_block(F.col("event_time"), block_days)).withColumn(
         "_goal_difference", F.col("goals_for") - F.col("goals_against")
     ).withColumn("_one", F.lit(1))
@@ -65,6 +73,7 @@ def table_before(teams: DataFrame, block_days: int = 1) -> DataFrame:
             "season_games": ("_one", "sum"),
         },
     ).drop("_block", "_goal_difference", "_one")
+    added = _as_first_of_instant(added, ["season", "team"], [c for c in added.columns if c not in teams.columns])
     return added.na.fill(0, ["season_points", "season_goal_difference", "season_games"])
 
 

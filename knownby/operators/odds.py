@@ -174,12 +174,11 @@ def nearest_before(
     stacked = (
         observations.select(
             *key, F.col(known_at).alias("_at"), F.lit(0).alias("_side"),
-            F.col(tie_break).cast("string").alias("_tie"), carried.alias("_seen"),
+            F.col(tie_break).alias("_tie"), carried.alias("_seen"),
         )
         .unionByName(
             requests.select(
                 *key, F.col(cutoff).alias("_at"), F.lit(1).alias("_side"),
-                F.col(request_id).cast("string").alias("_tie"),
                 F.struct(F.col(request_id), F.col(cutoff)).alias("_request"),
             ),
             allowMissingColumns=True,
@@ -187,7 +186,7 @@ def nearest_before(
         .filter("_at is not null")
         .withColumn("_block", time_block(F.col("_at"), days_per_block))
     )
-    scanned = carried_through(stacked, key, "_block", ["_at", "_side", "_tie"], {"_last": ("_seen", "last")})
+    scanned = carried_through(stacked, key, "_block", ["_at", "_side", "_tie", "_request"], {"_last": ("_seen", "last")})
     return scanned.filter("_side = 1").select(
         *key,
         F.col(f"_request.{request_id}").alias(request_id),

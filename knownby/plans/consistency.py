@@ -141,10 +141,13 @@ def fixture_check(t: Tables) -> DataFrame:
 @query(
     "team_week_appearances",
     "WITH " + _FIXTURES + """SELECT 'TEAM_WEEK_COUNT' AS code, coalesce(week || '|', '') || team AS subject, CAST(count(*) AS VARCHAR) AS detail FROM
-      (SELECT week, home AS team FROM f UNION ALL SELECT week, away FROM f) GROUP BY week, team HAVING count(*) <> 300""",
+      (SELECT week, home AS team FROM f UNION ALL SELECT week, away FROM f) GROUP BY week, team HAVING count(*) <> (SELECT greatest(1, count(*) // 50) FROM f)""",
 )
 def team_week_appearances(t: Tables) -> DataFrame:
-    return K.team_appearances(_fixtures(t), "matchweek", "official_home_name", "official_away_name", expected=300)
+    fixtures = _fixtures(t)
+    return K.team_appearances(
+        fixtures, "matchweek", "official_home_name", "official_away_name", expected=max(1, fixtures.count() // 50)
+    )
 
 
 @query(
@@ -189,15 +192,15 @@ def alias_target_reference(t: Tables) -> DataFrame:
     "contiguous_fixture_index",
     """WITH v AS (SELECT CASE WHEN o_orderkey % 500 = 3 THEN o_orderkey + 1 ELSE o_orderkey END AS i FROM orders WHERE o_orderkey % 700 <> 9),
        c AS (SELECT i, count(*) AS n FROM v GROUP BY i),
-       x AS (SELECT i, lag(i, 1, 0) OVER (ORDER BY i) AS p FROM (SELECT i FROM c WHERE i BETWEEN 1 AND 1000000 UNION ALL SELECT 1000001))
+       x AS (SELECT i, lag(i, 1, 0) OVER (ORDER BY i) AS p FROM (SELECT i FROM c WHERE i BETWEEN 1 AND (SELECT count(*) FROM orders) UNION ALL SELECT count(*) + 1 FROM orders))
        SELECT 'DUPLICATE_INDEX' AS code, CAST(i AS VARCHAR) AS subject, CAST(n AS VARCHAR) AS detail FROM c WHERE n > 1
-       UNION ALL SELECT 'INDEX_OUT_OF_RANGE', CAST(i AS VARCHAR), NULL FROM c WHERE i NOT BETWEEN 1 AND 1000000
+       UNION ALL SELECT 'INDEX_OUT_OF_RANGE', CAST(i AS VARCHAR), NULL FROM c WHERE i NOT BETWEEN 1 AND (SELECT count(*) FROM orders)
        UNION ALL SELECT 'MISSING_INDEX', CAST(p + 1 AS VARCHAR), CAST(i - 1 AS VARCHAR) FROM x WHERE i - p > 1""",
 )
 def contiguous_fixture_index(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
     index = t.orders.filter(k % 700 != 9).select(F.when(k % 500 == 3, k + 1).otherwise(k).alias("i"))
-    return K.contiguous_index(index, "i", 1_000_000)
+    return K.contiguous_index(index, "i", t.orders.count())
 
 
 @query(

@@ -138,12 +138,16 @@ tp AS (SELECT *, CASE WHEN gf > ga THEN 3 WHEN gf = ga THEN 1 ELSE 0 END AS poin
 
 @query(
     "team_form_features",
-    "WITH " + _TM + """SELECT match_id, team, count(*) OVER w AS form_matches, CAST(sum(points) OVER w AS BIGINT) AS form_points, CAST(sum(gf) OVER w AS BIGINT) AS form_goals_for,
+    "WITH " + _TM + """, fm AS (SELECT match_id, team, event_time, count(*) OVER w AS form_matches, CAST(sum(points) OVER w AS BIGINT) AS form_points, CAST(sum(gf) OVER w AS BIGINT) AS form_goals_for,
       CAST(sum(ga) OVER w AS BIGINT) AS form_goals_against, CAST(sum(CASE WHEN venue = 'HOME' THEN points END) OVER w AS BIGINT) AS form_home_points,
       CAST(sum(CASE WHEN venue = 'AWAY' THEN points END) OVER w AS BIGINT) AS form_away_points,
       round(epoch(event_time - max(event_time) OVER w) / 86400.0, 6) AS rest_days, count(*) OVER c AS recent_matches FROM tp
       WINDOW w AS (PARTITION BY team ORDER BY event_time, match_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
-        c AS (PARTITION BY team ORDER BY event_time RANGE BETWEEN INTERVAL 14 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""",
+        c AS (PARTITION BY team ORDER BY event_time RANGE BETWEEN INTERVAL 14 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING))
+      SELECT match_id, team, recent_matches, first_value(form_matches) OVER t AS form_matches, first_value(form_points) OVER t AS form_points,
+        first_value(form_goals_for) OVER t AS form_goals_for, first_value(form_goals_against) OVER t AS form_goals_against,
+        first_value(form_home_points) OVER t AS form_home_points, first_value(form_away_points) OVER t AS form_away_points,
+        first_value(rest_days) OVER t AS rest_days FROM fm WINDOW t AS (PARTITION BY team, event_time ORDER BY match_id)""",
 )
 def team_form_features(t: Tables) -> DataFrame:
     made = X.form_features(X.team_matches(order_matches(t)), window=5, congestion_days=14)
@@ -157,7 +161,7 @@ def team_form_features(t: Tables) -> DataFrame:
     "league_table_before_match",
     "WITH " + _TM + """SELECT season, match_id, team, CAST(coalesce(sum(points) OVER w, 0) AS BIGINT) AS season_points,
       CAST(coalesce(sum(gf - ga) OVER w, 0) AS BIGINT) AS season_goal_difference, count(*) OVER w AS season_games FROM tp
-      WINDOW w AS (PARTITION BY season, team ORDER BY event_time, match_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+      WINDOW w AS (PARTITION BY season, team ORDER BY event_time RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""",
 )
 def league_table_before_match(t: Tables) -> DataFrame:
     return X.table_before(X.team_matches(order_matches(t))).select(
@@ -236,8 +240,17 @@ def outcome_forecast_scores(t: Tables) -> DataFrame:
     return _rounded(V.outcome_scores(rows, ["competition"], 1e-6))
 
 
-# Seeded resampling: checked against its own weights in the tests.
-@query("paired_bootstrap_interval")
+@query(
+    "paired_bootstrap_interval",
+    f"""WITH u AS (SELECT l_returnflag AS segment, l_orderkey AS unit, sum(l_discount - l_tax) AS d, count(*) AS n FROM lineitem GROUP BY ALL),
+      w AS (SELECT u.*, r.replicate, ('0x' || substr(md5(unit || ':' || r.replicate || ':7'), 1, 13))::BIGINT / 4503599627370496.0 AS x
+            FROM u, range(1, 51) r(replicate)),
+      m AS (SELECT segment, replicate, sum(k * d) / nullif(sum(k * n), 0) AS m FROM (
+              SELECT *, {' + '.join(f'CAST(x >= {c!r} AS INTEGER)' for c in V.POISSON_ONE)} AS k FROM w) GROUP BY ALL),
+      i AS (SELECT segment, quantile_cont(m, 0.05) AS low, quantile_cont(m, 0.95) AS high FROM m GROUP BY segment)
+      SELECT segment, round(sum(d) / sum(n), 6) AS mean_difference, CAST(sum(n) AS BIGINT) AS sample_size, count(*) AS units,
+        round(any_value(low), 6) AS low, round(any_value(high), 6) AS high, CAST(7 AS INTEGER) AS seed FROM u JOIN i USING (segment) GROUP BY segment""",
+)
 def paired_bootstrap_interval(t: Tables) -> DataFrame:
     rows = t.lineitem.select(
         F.col("l_orderkey").alias("unit"), F.col("l_returnflag").alias("segment"),
