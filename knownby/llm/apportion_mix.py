@@ -125,8 +125,13 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them: 0, 1 or 2 times, to the nearest whole text."""
-    copies = mix(docs).where("taken > 0").groupBy("doc_id").agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("copies"))
-    return docs.join(copies.where("copies > 0"), "doc_id").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))
-    ).drop("_copy", "copies")
+    """The rows of ``docs`` as often as the mix takes them: 0, 1 or 2 times, to the nearest whole text.
+
+    Rows that share a doc_id, or have none, come equally often.
+    """
+    copies = mix(docs).where("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(
+        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_copies")
+    )
+    return docs.join(copies.where("_copies > 0"), F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    ).drop("_id", "_copy", "_copies")

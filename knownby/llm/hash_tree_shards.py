@@ -128,6 +128,6 @@ def assign(docs: DataFrame, tree: ShardTree) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, tree: ShardTree) -> DataFrame:
-    """``docs`` with the shard of every row and its slot there."""
-    placed = docs.withColumn("key", document_key())
-    return with_slots(placed.withColumn("shard", tree.shard_of(F.col("key")))).drop("key")
+    """``docs`` with the shard of every row and its slot there; columns of these two names are replaced."""
+    placed = docs.drop("slot").withColumn("_key", document_key())
+    return with_slots(placed.withColumn("shard", tree.shard_of(F.col("_key"))), "_key").drop("_key")

@@ -311,6 +311,7 @@ def main_text(pages: DataFrame) -> DataFrame:
             out.append(article_text(page, known.setdefault(paths, frozenset(paths))))
         return pa.array(out, pa.string())
 
+    pages = pages.select("page_id", "url", "html")
     joined = pages.withColumn("host", host_of(F.col("url"))).join(low_branches(pages), "host", "left")
     return joined.select("page_id", "url", text("html", "removed").alias("text")).withColumn(
         "n_chars", F.length("text").cast("bigint")
