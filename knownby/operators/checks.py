@@ -83,11 +83,6 @@ def contiguous_index(df: DataFrame, column: str, size: int) -> DataFrame:
     )
 
 
-def expected_count(df: DataFrame, code: str, expected: int, name: str) -> DataFrame:
-    counted = df.agg(F.count(F.lit(1)).alias("n"))
-    return violations(counted.filter(F.col("n") != expected), code, F.lit(name), F.col("n"))
-
-
 def group_cardinality(
     df: DataFrame, keys: Sequence[str], expected: int, code: str, domain: DataFrame | None = None
 ) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from knownby.functions.scalars import ratio
 from knownby.operators.scans import carried_through
-from knownby.operators.skew import hot_keys, join_summary
 
 
 def edge_bin(value: Column, edges: Sequence[float]) -> Column:
@@ -59,7 +58,8 @@ def kolmogorov_smirnov(rows: DataFrame, current: Column, value: str, group: Sequ
     )
     totals = counted.groupBy(*group).agg(F.sum("reference").alias("rt"), F.sum("current").alias("ct"))
     gap = F.abs(ratio(F.col("r"), F.col("rt")) - ratio(F.col("c"), F.col("ct")))
-    joined = join_summary(running, totals, group, hot_keys(counted, group), group, [value])
+    # One row per group meets that group's values; Spark splits the join where a group is large.
+    joined = running.join(totals, list(group))
     return joined.groupBy(*group).agg(F.max(gap).alias("ks"))
 
 

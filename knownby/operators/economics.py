@@ -71,13 +71,14 @@ def drawdown(settled: DataFrame, group: Sequence[str], block: str, order: Sequen
 def segment_report(settled: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     """One row per value of every single dimension, and the grand total.
 
-    Equals GROUPING SETS over the single dimensions. Each row is expanded into its
+    Equals GROUPING SETS over the single dimensions: the total has no dimension, and a null value is
+    a segment of its dimension. Each row is expanded into its
     (dimension, value) pairs inside the map task and summed there.
     """
     pairs = F.array(
-        F.struct(F.lit("ALL").alias("dimension"), F.lit("ALL").alias("segment")),
+        F.struct(F.lit(None).cast("string").alias("dimension"), F.lit(None).cast("string").alias("segment")),
         *[
-            F.struct(F.lit(d).alias("dimension"), F.coalesce(F.col(d).cast("string"), F.lit("-")).alias("segment"))
+            F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("segment"))
             for d in dimensions
         ],
     )

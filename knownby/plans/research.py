@@ -389,8 +389,8 @@ def paper_drawdown(t: Tables) -> DataFrame:
     f"""WITH {_ST}, x AS (SELECT o_orderpriority, o_orderstatus, stake, profit FROM sp),
       g AS (SELECT o_orderpriority, o_orderstatus, grouping(o_orderpriority) AS gp, grouping(o_orderstatus) AS gs, count(profit) AS settled, sum(stake)::DOUBLE AS turnover, sum(profit)::DOUBLE AS profit FROM x
         GROUP BY GROUPING SETS ((o_orderpriority), (o_orderstatus), ()))
-      SELECT CASE WHEN gp = 0 THEN 'o_orderpriority' WHEN gs = 0 THEN 'o_orderstatus' ELSE 'ALL' END AS dimension,
-        CASE WHEN gp = 0 THEN o_orderpriority WHEN gs = 0 THEN o_orderstatus ELSE 'ALL' END AS segment, settled, turnover, profit, round(profit / turnover, 6) AS yield FROM g""",
+      SELECT CASE WHEN gp = 0 THEN 'o_orderpriority' WHEN gs = 0 THEN 'o_orderstatus' END AS dimension,
+        CASE WHEN gp = 0 THEN o_orderpriority WHEN gs = 0 THEN o_orderstatus END AS segment, settled, turnover, profit, round(profit / turnover, 6) AS yield FROM g""",
 )
 def segment_report(t: Tables) -> DataFrame:
     return _rounded(E.segment_report(_settled(t), ["o_orderpriority", "o_orderstatus"]))

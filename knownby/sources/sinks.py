@@ -16,7 +16,3 @@ def write_report(tables: Mapping[str, DataFrame], folder: str, fmt: str = "json"
         if fmt == "json":
             writer = writer.option("ignoreNullFields", "false")
         writer.format(fmt).save(f"{folder}/{name}")
-
-
-def write_canonical(lines: DataFrame, folder: str, mode: str = "errorifexists") -> None:
-    lines.select("value").write.mode(mode).text(folder)
