@@ -36,6 +36,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knownby.llm.tables import stored
+
 MIN_PAGES = 8
 LOW_IMPORTANCE = 0.75
 PRESENTATION = 0.9
@@ -279,9 +281,10 @@ def host_of(url: Column) -> Column:
 
 def low_branches(pages: DataFrame) -> DataFrame:
     """(host, removed): the paths of low importance of every host. ``pages``: url, html."""
-    counts = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
+    # Kept, because both trees read the counts twice, and each reading would parse all pages again.
+    counts = stored(pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
         _feature_batches, "host string, path string, kind int, feature bigint, n bigint"
-    ).groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n"))
+    ).groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n")))
     own = _importance(counts, ["host"])
     every = _importance(counts.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n")), []).select(
         "path", F.col("pages").alias("all_pages"), F.col("importance").alias("all_importance")
@@ -312,7 +315,9 @@ def main_text(pages: DataFrame) -> DataFrame:
         return pa.array(out, pa.string())
 
     pages = pages.select("page_id", "url", "html")
-    joined = pages.withColumn("host", host_of(F.col("url"))).join(low_branches(pages), "host", "left")
+    # Written first, so that Spark knows its size: small, it is broadcast and no page is shuffled.
+    low = stored(low_branches(pages))
+    joined = pages.withColumn("host", host_of(F.col("url"))).join(low, "host", "left")
     return joined.select("page_id", "url", text("html", "removed").alias("text")).withColumn(
         "n_chars", F.length("text").cast("bigint")
     )
