@@ -145,7 +145,11 @@ def train(docs: DataFrame, labels: DataFrame, allowed: F.Column | None = None) -
             z[at] += states["z"][k].values.to_numpy() * share[k]
             n[at] += states["n"][k].values.to_numpy() * share[k]
         state.destroy()
-        if not len(states):
+        empty = not len(states)
+        del states
+        # The driver keeps the two arrays only; Arrow would hold on to what the parts sent.
+        pa.default_memory_pool().release_unused()
+        if empty:
             break
     discard(sample)
     return ftrl_weights(z, n)
