@@ -6,13 +6,18 @@ word, says whether the pointer moves on. Two sequences at a small edit distance
 after each edit, so their walks agree in most steps: edit distance has become Hamming distance, and
 sampling a few steps of the walk is a locality-sensitive hash.
 
-Every window of a document is walked from its first word. Windows are item-sized: an item of L
-words is looked for with samples from the first 1.5 L steps or fewer, which the walk spends inside
-its L words, so one walk serves the windows of all sizes that start at a word. Items are put into size
-classes by the number of steps sampled; an item step that has left the item is never used.
-``WALKS`` independent walks with ``SAMPLES`` samples of ``SAMPLED_STEPS`` steps each make the recall
-(tests measure it on edited passages). Every candidate is then confirmed by the word edit distance:
-at most L // 5 edits for items of 6 words or more; shorter items have to occur word for word.
+Every window of a document is walked from its first word, and an item of L words is looked for with
+samples from the first 1.5 L steps or fewer (at most 48) of its walk, so one walk serves the windows
+of all sizes that start at a word. Items are put into size classes by the number of steps sampled; an
+item step that has left the item is never used. ``WALKS`` independent walks have ``SAMPLES`` samples of
+``SAMPLED_STEPS`` steps each.
+
+These samples see the head of an item only and find by chance, so a second source of candidates makes
+the search whole: an item that may have E edits is cut into E + 1 runs of words all along it. E edits
+spoil at most E of them, so every window within the bound holds one run word for word, and that run's
+place says where the window begins, give or take E words. Every candidate is then confirmed by the word
+edit distance over all windows that may begin there: at most L // 5 edits for items of 6 words or
+more; shorter items have to occur word for word (E = 0, one run). No window within the bound is missed.
 
 The benchmark is the stated query set: it is taken in blocks of ``BLOCK_ITEMS`` items, so what
 is broadcast has a fixed bound, and each block reads the documents once. Documents are never shuffled.
@@ -44,6 +49,9 @@ EDITS_PER_WORD = 5
 BLOCK_ITEMS = 5_000
 _POSITIONS = 1 << 15
 _FILTER_BITS = 20
+_RUN_SHIFT = np.uint64(64 - _FILTER_BITS)
+#: Cells of candidate windows looked at together.
+_CELLS = 1 << 21
 _FACTOR, _SHIFT = np.uint32(0x9E3779B1), np.uint32(32 - _FILTER_BITS)
 HIT = "struct<item_id:bigint,start_word:int,n_words:int,edits:int>"
 
@@ -93,8 +101,10 @@ class Index:
     items: list[np.ndarray]
     #: (walk, class) -> number of the sample -> (filter, sorted keys, item of each)
     tables: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = field(default_factory=dict)
-    #: words -> (sorted hashes of whole items, item of each)
-    short: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    #: words of a run -> (filter, sorted hashes, row of ``places`` of each)
+    runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    #: rows (item, place of the run in it)
+    places: np.ndarray = field(default_factory=lambda: np.zeros((0, 2), np.int64))
 
 
 def build_index(rows: list[tuple[int, str]]) -> Index:
@@ -104,13 +114,16 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
         w = W.words(piece, W.ALNUM)
         items += np.split(w.hashes, w.first_word[1:-1])
     index = Index([i for i, _ in rows], items)
-    exact = defaultdict(list)
+    runs, places = defaultdict(list), []
     found = defaultdict(lambda: [[] for _ in range(SAMPLES)])
     for number, words in enumerate(items):
         if not len(words):
             continue
+        cuts = [k * len(words) // (allowed_edits(words) + 1) for k in range(allowed_edits(words) + 2)]
+        for low, high in zip(cuts, cuts[1:]):
+            runs[high - low].append((_run_hashes(words[low:high], high - low)[high - low][0], len(places)))
+            places.append((number, low))
         if len(words) < SHORTEST:
-            exact[len(words)].append((W._chain(words, np.zeros(1, np.int64), len(words))[0], number))
             continue
         steps = max(t for t in CLASSES if 2 * t <= 3 * len(words))
         # One word more, so that a pointer that has left the item shows.
@@ -127,10 +140,25 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
             open_ = np.zeros(1 << _FILTER_BITS, bool)
             open_[keys >> _SHIFT] = True
             index.tables[at].append((open_, keys, numbers))
-    index.short = {n: _sorted(pairs, np.uint64) for n, pairs in exact.items()}
+    for n, pairs in runs.items():
+        hashes, rows_ = _sorted(pairs, np.uint64)
+        open_ = np.zeros(1 << _FILTER_BITS, bool)
+        open_[hashes >> _RUN_SHIFT] = True
+        index.runs[n] = open_, hashes, rows_
+    index.places = np.array(places, np.int64).reshape(-1, 2)
     return index
 
 
+def _run_hashes(hashes: np.ndarray, longest: int) -> dict[int, np.ndarray]:
+    """Words of a run -> hash of the run from every word that has so many words from it on."""
+    value, out = W.mix(hashes), {}
+    for n in range(1, longest + 1):
+        if n > 1:
+            value = W.mix(value[:-1] * np.uint64(3) + hashes[n - 1 :])
+        out[n] = value
+    return out
+
+
 def _sorted(pairs: list[tuple[int, int]], kind: type) -> tuple[np.ndarray, np.ndarray]:
     keys = np.array([k for k, _ in pairs], kind)
     order = np.argsort(keys, kind="stable")
@@ -146,11 +174,18 @@ def _looked_up(keys: np.ndarray, at: np.ndarray, table: np.ndarray, numbers: np.
 
 
 def _candidates(w: W.Words, index: Index) -> np.ndarray:
-    """Distinct rows (item, first word) of all windows that share a sample with an item."""
-    found = [np.zeros((0, 2), np.int64)]
-    for n, (table, numbers) in index.short.items():
-        runs, at = W.word_runs(w, n)
-        found.append(_looked_up(runs, at, table, numbers))
+    """Distinct rows (item, text, first word that the item would have without edits before it)."""
+    found = [np.zeros((0, 3), np.int64)]
+    longest = min(max(index.runs, default=0), len(w.hashes))
+    for n, hashes in _run_hashes(w.hashes, longest).items():
+        if n not in index.runs:
+            continue
+        open_, table, numbers = index.runs[n]
+        maybe = np.flatnonzero(open_[hashes >> _RUN_SHIFT])
+        maybe = maybe[w.text[maybe] == w.text[maybe + n - 1]]
+        rows = _looked_up(hashes[maybe], maybe, table, numbers)
+        place = index.places[rows[:, 0]]
+        found.append(np.stack([place[:, 0], w.text[rows[:, 1]], rows[:, 1] - place[:, 1]], 1))
     for low in range(0, len(w.hashes), _POSITIONS):
         # A walk of 48 steps never leaves the words that follow within the slice.
         near = w.hashes[low : low + _POSITIONS + max(CLASSES)]
@@ -166,26 +201,57 @@ def _candidates(w: W.Words, index: Index) -> np.ndarray:
                     open_, table, numbers = index.tables[walk, t][k]
                     maybe = np.flatnonzero(open_[key >> _SHIFT])
                     if len(maybe):
-                        found.append(_looked_up(key[maybe], maybe + low, table, numbers))
+                        rows = _looked_up(key[maybe], maybe + low, table, numbers)
+                        found.append(np.stack([rows[:, 0], w.text[rows[:, 1]], rows[:, 1]], 1))
     return np.unique(np.concatenate(found), axis=0)
 
 
-def _likely(w: W.Words, index: Index) -> Iterator[tuple[int, int, int, np.ndarray]]:
-    """(item, text, first word, window) of the candidates with enough words of their item."""
+def _likely(w: W.Words, index: Index) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(item, text, first words) of the candidates with enough words of their item around them."""
     rows = _candidates(w, index)
     cuts = np.flatnonzero(np.diff(rows[:, 0], prepend=-1)).tolist() + [len(rows)]
     for low, high in zip(cuts, cuts[1:]):
-        number, at = int(rows[low, 0]), rows[low:high, 1]
-        item = index.items[number]
-        text = w.text[at]
-        end = np.minimum(at + len(item) + allowed_edits(item), w.first_word[text + 1])
-        places = at[:, None] + np.arange(len(item) + allowed_edits(item))
-        inside = places < end[:, None]
-        window = w.hashes[np.where(inside, places, at[:, None])]
+        item = index.items[int(rows[low, 0])]
+        edits = allowed_edits(item)
+        reach = np.arange(-edits, len(item) + edits)
         known = np.unique(item)
-        of_item = known[np.minimum(np.searchsorted(known, window), len(known) - 1)] == window
-        for i in np.flatnonzero((of_item & inside).sum(1) >= len(item) - allowed_edits(item)):
-            yield number, int(text[i]), int(at[i]), window[i, : end[i] - at[i]]
+        step = max(1, _CELLS // len(reach))
+        kept = [np.zeros((0, 3), np.int64)]
+        for k in range(low, high, step):
+            some = rows[k : min(k + step, high)]
+            places = some[:, 2:] + reach
+            inside = (places >= w.first_word[some[:, 1:2]]) & (places < w.first_word[some[:, 1:2] + 1])
+            around = w.hashes[np.clip(places, 0, len(w.hashes) - 1)]
+            of_item = known[np.minimum(np.searchsorted(known, around), len(known) - 1)] == around
+            kept.append(some[(of_item & inside).sum(1) >= len(item) - edits])
+        some = np.concatenate(kept)
+        by_text = np.flatnonzero(np.diff(some[:, 1], prepend=-1)).tolist() + [len(some)]
+        for k, after in zip(by_text, by_text[1:]):
+            yield int(some[k, 0]), int(some[k, 1]), some[k:after, 2]
+
+
+def _best(w: W.Words, text: int, item: np.ndarray, starts: np.ndarray) -> tuple[int, int, int] | None:
+    """(edits, first word, words) of the closest window near one of ``starts``, if within the bound."""
+    begin, end = int(w.first_word[text]), int(w.first_word[text + 1])
+    for at in starts.tolist():
+        if begin <= at <= end - len(item) and np.array_equal(w.hashes[at : at + len(item)], item):
+            return 0, at - begin, len(item)
+    edits, found = allowed_edits(item), None
+    if not edits:
+        return None
+    # Neighbouring starts are looked at together, in regions of bounded size.
+    low = high = int(starts[0])
+    for at in [*starts[1:].tolist(), None]:
+        if at is not None and at - high <= 2 * edits and at - low <= 4 * len(item):
+            high = at
+            continue
+        first = max(begin, low - edits)
+        new = closest_window(item, w.hashes[first : min(end, high + len(item) + edits)], high + edits - first)
+        if new[0] <= edits:
+            new = (new[0], new[1] + first - begin, new[2])
+            found = min(found or new, new)
+        low = high = at if at is not None else 0
+    return found
 
 
 def allowed_edits(item: np.ndarray) -> int:
@@ -205,28 +271,30 @@ def edits_to_prefix(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     return int(row[order[0]]), int(order[0])
 
 
+def closest_window(item: np.ndarray, region: np.ndarray, last: int) -> tuple[int, int, int]:
+    """(edits, start, words) of the window of ``region``, begun at ``last`` or before, closest to ``item``; the first of those."""
+    places = np.arange(len(region) + 1, dtype=np.int64)
+    # One number holds edits and start, so that the least has the fewest edits, then the first start.
+    edit = np.int64(len(region) + 1)
+    row = np.where(places <= last, places, edit * (len(item) + 1))
+    for word in item:
+        change = np.minimum(row[1:] + edit, row[:-1] + edit * (region != word))
+        row = np.minimum.accumulate(np.concatenate([row[:1] + edit, change]) - edit * places) + edit * places
+    start = int(row.min() % edit)
+    edits, n = edits_to_prefix(item, region[start:])
+    return edits, start, n
+
+
 def hits(texts: pa.Array, index: Index) -> list[list[dict]]:
     """Per text its confirmed (item, window) pairs."""
     out: list[list[dict]] = []
     for piece in W.pieces(pc.utf8_lower(texts)):
         w = W.words(piece, W.ALNUM)
-        best: dict[tuple[int, int], tuple] = {}
-        likely = list(_likely(w, index))
-        for number, text, at, window in likely:
-            item = index.items[number]
-            if np.array_equal(window[: len(item)], item):
-                best.setdefault((text, number), (0, at - int(w.first_word[text]), len(item)))
-        whole = set(best)
-        for number, text, at, window in likely:
-            if (text, number) in whole:
-                continue
-            edits, n = edits_to_prefix(index.items[number], window)
-            if edits <= allowed_edits(index.items[number]):
-                new = (edits, at - int(w.first_word[text]), n)
-                best[text, number] = min(best.get((text, number), new), new)
         per_text: list[list[dict]] = [[] for _ in range(piece.n_texts)]
-        for (text, number), (edits, start, n) in sorted(best.items()):
-            per_text[text].append({"item_id": index.ids[number], "start_word": start, "n_words": n, "edits": edits})
+        for number, text, starts in _likely(w, index):
+            if best := _best(w, text, index.items[number], starts):
+                edits, start, n = best
+                per_text[text].append({"item_id": index.ids[number], "start_word": start, "n_words": n, "edits": edits})
         out += per_text
     return out
 

@@ -195,6 +195,33 @@ def test_recall_on_edited_passages(spark):
     assert found <= {(i, i) for i, _ in benchmark} and len(found) >= 0.93 * len(benchmark)
 
 
+def test_every_passage_within_the_bound_is_found(spark):
+    """L // 5 edits: massed at the head, at the tail, one in five words, or words put in and left out, in short and long items."""
+    benchmark = [(i, prose(20_000 + i, n)) for i, n in enumerate((6, 9, 10, 15, 19, 24, 25, 31, 60, 199, 200) * 3)]
+    texts = {}
+    for i, t in benchmark:
+        words, e = t.split(), len(t.split()) // 5
+        new = [f"new{k}" for k in range(e)]
+        texts[10 * i] = " ".join(words[e:])
+        texts[10 * i + 1] = " ".join(new + words[e:])
+        texts[10 * i + 2] = " ".join(words[: len(words) - e] + new)
+        texts[10 * i + 3] = " ".join(f"new{k}" if k % 5 == 4 else x for k, x in enumerate(words))
+        texts[10 * i + 4] = " ".join(f"{x} new{k}" if k % 5 == 3 and k // 5 < e else x for k, x in enumerate(words))
+        texts[10 * i + 5] = edited(t, i, e)
+        texts[10 * i + 6] = " ".join(f"new{k}" for k in range(e + 1)) + " " + " ".join(words[e + 1 :])
+    texts = {d: f"{prose(d, 30)} {t} {prose(d + 1, 30)}" for d, t in texts.items()}
+    assert found_pairs(spark, texts, benchmark) == {(d, d // 10) for d in texts if d % 10 < 6}
+
+
+def test_closest_window_is_the_first_of_the_closest():
+    import numpy as np
+
+    word = lambda s: np.array([ord(c) for c in s])
+    assert cgk_decontaminate.closest_window(word("abcdef"), word("yyxbcdefzz"), 9) == (1, 2, 6)
+    assert cgk_decontaminate.closest_window(word("abcdef"), word("abcxefabcdef"), 11) == (0, 6, 6)
+    assert cgk_decontaminate.closest_window(word("abcdef"), word("abcxefabcdef"), 5) == (1, 0, 6)
+
+
 def test_short_items_and_odd_tables(spark):
     benchmark = [(1, "seven plain words"), (2, None), (3, "..."), (4, "seven plain words"), (5, prose(3, 20))]
     assert found_pairs(spark, {1: "has Seven, plain words.", 2: "seven plain", 3: "seven words plain"}, benchmark) == {(1, 1), (1, 4)}
