@@ -1,7 +1,7 @@
 """Secret scan with a random forest against false positives; DataFrame functions and Spark ML only.
 
 Candidates are long mixed strings, strings with a well-known head, and values assigned to names like
-password or token. A random forest decides on each by its length, the transitions between its kinds of
+password or token; a word without blanks (compact JSON, a query string) gives all that it holds. A random forest decides on each by its length, the transitions between its kinds of
 characters, how much of it dictionary words and syllables cover, whether it looks like a path, and the
 words beside it. It is trained on labelled findings: candidates whose label follows from their form
 (issued heads, assigned random values; digits only, paths, plain words), each also without its neighbours and,
@@ -43,6 +43,8 @@ DICTIONARY = (
 _LETTERS = r"[A-Za-z0-9+/_.~-]"
 _ASSIGNED = NAMES + r"[\w-]*[\"']?(?:=|:=|:|=>)[\"']?([^\s\"'<>,;]{8,})"
 _LONG = _LETTERS + r"{16,}={0,2}"
+#: A long run with the name it is given to, if any, and an opening mark.
+_SHOWN = r"(?:([\w.-]+)[\"']?(?:=|:=|:|=>))?[\"'`(]?(" + _LONG + ")"
 FEATURES = (
     "length", "lower", "upper", "digits", "other", "distinct", "transitions", "case_transitions", "digit_transitions", "vowels",
     "longest_letters", "longest_same", "covered", "path", "hex", "head", "assigned", "named_before", "sign_before", "quoted",
@@ -50,21 +52,38 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, start_word, secret, word, before, sign: every candidate of ``docs`` (doc_id, text)."""
+    """doc_id, start_word, secret, word, before, sign: every candidate of ``docs`` (doc_id, text).
+
+    A word may hold several; ``word`` is what of it belongs to the candidate.
+    """
     # A cheap look at the whole text first; most documents hold no candidate.
     likely = docs.where(F.col("text").rlike(r"[0-9]") & (F.col("text").rlike(_LONG) | F.col("text").rlike(NAMES)))
     words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     listed = likely.select("doc_id", words.alias("words")).select("doc_id", "words", F.posexplode("words").alias("start_word", "word"))
-    assigned = F.regexp_extract("word", _ASSIGNED, 1)
-    long_ = F.regexp_extract("word", _LONG, 0)
-    secret = F.when(assigned != "", F.regexp_extract(assigned, r"^[^\"']*", 0)).otherwise(long_)
+    every = lambda pattern, group: F.regexp_extract_all("piece", F.lit(pattern), F.lit(group))
+    assigned = F.arrays_zip(every(_ASSIGNED, 0).alias("word"), every(_ASSIGNED, 1).alias("secret"))
+    long_ = F.arrays_zip(every(_SHOWN, 0).alias("word"), every(_SHOWN, 1).alias("name"), every(_SHOWN, 2).alias("secret"))
+    none = F.lit("")
+    # A long run inside an assigned value is that value, or a part of it.
+    own = F.filter(long_, lambda x: ~F.exists(F.col("values"), lambda y: F.contains(y["secret"], x["secret"])))
+    both = F.concat(
+        F.transform("values", lambda x: F.struct(x["word"].alias("word"), none.alias("name"), x["secret"].alias("secret"))), own
+    )
     back = lambda k: F.coalesce(F.try_element_at("words", F.nullif(F.greatest(F.col("start_word") + 1 - k, F.lit(0)), F.lit(0))), F.lit(""))
-    found = listed.where(F.col("word").rlike(r"[0-9]") & (F.length("word") >= 8)).withColumn("secret", secret)
-    return found.where((F.length("secret") >= 8) & F.col("secret").rlike("[0-9]")).select(
-        "doc_id", "start_word", "secret", "word",
+    found = listed.where(F.col("word").rlike(r"[0-9]") & (F.length("word") >= 8) & (F.col("word").rlike(_LONG) | F.col("word").rlike(NAMES)))
+    # The values of a query string are cut apart, as a value may hold other marks.
+    pieces = found.select("*", F.col("word").alias("whole"), F.explode(F.split("word", r"&(?=[\w.-]+=)")).alias("piece")).drop("word")
+    each = pieces.withColumn("values", assigned).withColumn("c", F.explode(F.array_distinct(both))).where(
+        (F.length("c.secret") >= 8) & F.col("c.secret").rlike("[0-9]")
+    )
+    # What stands inside the word is the neighbour of all but its first candidate.
+    first = F.startswith("whole", F.col("c.word"))
+    named = F.col("c.name") != ""
+    return each.select(
+        "doc_id", "start_word", "c.secret", "c.word",
         # name = "value" has the name two words before the value, name: value one.
-        F.when(back(1).rlike(r"^(?:=|:|:=|=>)$"), back(2)).otherwise(back(1)).alias("before"),
-        back(1).rlike(r"(?:=|:|=>)$").alias("sign"),
+        F.when(named, F.col("c.name")).when(~first, "").when(back(1).rlike(r"^(?:=|:|:=|=>)$"), back(2)).otherwise(back(1)).alias("before"),
+        (named | (first & back(1).rlike(r"(?:=|:|=>)$"))).alias("sign"),
     )
 
 
