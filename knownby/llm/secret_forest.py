@@ -10,12 +10,15 @@ for true ones, spoiled into placeholders, so that no single sign decides. The sa
 
 Everything but the training sample is row-wise: no shuffle, so hot sources or copies do not matter.
 
-Defined cases: null and empty texts have no findings; of a candidate longer than ``LONGEST`` characters the
-features see that many, the digest sees all; repeated rows repeat their findings.
+Defined cases: null and empty texts have no findings; features and digest see the
+whole candidate, however long; repeated rows repeat their findings.
 """
 
 from __future__ import annotations
 
+import random
+import string
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -26,9 +29,12 @@ from pyspark.sql import functions as F
 from knownby.llm.tables import stored
 
 MAX_FINDINGS = 8_000
+#: Rounds of made-up rows that any sample is given besides.
+KNOWN = 40
 TREES, DEPTH, SEED = 20, 6, 11
 THRESHOLD = 0.5
-LONGEST = 200
+#: Longer findings are scored like all others, but not labelled.
+LONGEST_LABELLED = 1_000
 
 # Heads that issuers give their keys, names that secrets are assigned to, and words of
 # placeholders and ordinary identifiers.
@@ -45,6 +51,7 @@ _ASSIGNED = NAMES + r"[\w-]*[\"']?(?:=|:=|:|=>)[\"']?([^\s\"'<>,;]{8,})"
 _LONG = _LETTERS + r"{16,}={0,2}"
 #: A long run with the name it is given to, if any, and an opening mark.
 _SHOWN = r"(?:([\w.-]+)[\"']?(?:=|:=|:|=>))?[\"'`(]?(" + _LONG + ")"
+_WORDS = "(?i)" + "|".join(sorted(DICTIONARY, key=len, reverse=True))
 FEATURES = (
     "length", "lower", "upper", "digits", "other", "distinct", "transitions", "case_transitions", "digit_transitions", "vowels",
     "longest_letters", "longest_same", "covered", "path", "hex", "head", "assigned", "named_before", "sign_before", "quoted",
@@ -57,7 +64,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     A word may hold several; ``word`` is what of it belongs to the candidate.
     """
     # A cheap look at the whole text first; most documents hold no candidate.
-    likely = docs.where(F.col("text").rlike(r"[0-9]") & (F.col("text").rlike(_LONG) | F.col("text").rlike(NAMES)))
+    likely = docs.where(F.col("text").rlike(_LONG) | F.col("text").rlike(NAMES))
     words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     listed = likely.select("doc_id", words.alias("words")).select("doc_id", "words", F.posexplode("words").alias("start_word", "word"))
     every = lambda pattern, group: F.regexp_extract_all("piece", F.lit(pattern), F.lit(group))
@@ -70,11 +77,11 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.transform("values", lambda x: F.struct(x["word"].alias("word"), none.alias("name"), x["secret"].alias("secret"))), own
     )
     back = lambda k: F.coalesce(F.try_element_at("words", F.nullif(F.greatest(F.col("start_word") + 1 - k, F.lit(0)), F.lit(0))), F.lit(""))
-    found = listed.where(F.col("word").rlike(r"[0-9]") & (F.length("word") >= 8) & (F.col("word").rlike(_LONG) | F.col("word").rlike(NAMES)))
+    found = listed.where((F.length("word") >= 8) & (F.col("word").rlike(_LONG) | F.col("word").rlike(NAMES)))
     # The values of a query string are cut apart, as a value may hold other marks.
     pieces = found.select("*", F.col("word").alias("whole"), F.explode(F.split("word", r"&(?=[\w.-]+=)")).alias("piece")).drop("word")
     each = pieces.withColumn("values", assigned).withColumn("c", F.explode(F.array_distinct(both))).where(
-        (F.length("c.secret") >= 8) & F.col("c.secret").rlike("[0-9]")
+        F.length("c.secret") >= 8
     )
     # What stands inside the word is the neighbour of all but its first candidate.
     first = F.startswith("whole", F.col("c.word"))
@@ -98,8 +105,7 @@ def _longest(pattern: str) -> Column:
 
 def with_features(found: DataFrame) -> DataFrame:
     """Adds the numbers of ``FEATURES``."""
-    s = found.withColumn("s", F.substring("secret", 1, LONGEST))
-    words = "(?i)" + "|".join(sorted(DICTIONARY, key=len, reverse=True))
+    s = found.withColumn("s", F.col("secret"))
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace("s", "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
     pairs = lambda pattern: F.regexp_count(kinds, F.lit(pattern))
     numbers = {
@@ -110,7 +116,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "case_transitions": pairs("a(?=A)|A(?=a)") / F.length("s"),
         "digit_transitions": pairs("[aA](?=0)|0(?=[aA])") / F.length("s"),
         "vowels": _share("[aeiouAEIOU]"), "longest_letters": _longest("[A-Za-z]+"), "longest_same": _longest(r"(.)\1+"),
-        "covered": 1 - F.length(F.regexp_replace("s", words, "")) / F.length("s"),
+        "covered": 1 - F.length(F.regexp_replace("s", _WORDS, "")) / F.length("s"),
         "path": _share(r"[/.]"), "hex": F.col("s").rlike(r"^[0-9a-f]+$") | F.col("s").rlike(r"^[0-9A-F]+$"),
         "head": F.col("s").rlike(HEADS), "assigned": F.col("word").rlike(_ASSIGNED),
         "named_before": F.col("before").rlike(NAMES), "sign_before": F.col("sign"), "quoted": F.col("word").rlike(r"^[\"'`(]"),
@@ -118,13 +124,43 @@ def with_features(found: DataFrame) -> DataFrame:
     return s.select("*", *[F.coalesce(numbers[n].cast("double"), F.lit(0.0)).alias(n) for n in FEATURES]).drop("s")
 
 
+def _known() -> list[tuple[str, str, str, bool, float]]:
+    """Rows (secret, word, before, sign, label) whose label is known whatever the table holds, many of them without a digit."""
+    rng = random.Random(SEED)
+    of = lambda n, signs: "".join(rng.choice(signs) for _ in range(n))
+    name = lambda: rng.choice(("password", "secret", "token", "api_key", "passphrase"))
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") + rng.choice(("", "", "n", "r", "st")) for _ in range(rng.randint(2, 3)))
+    rows = [("q7Rk29XvT4mB8nLc0WzE", "q7Rk29XvT4mB8nLc0WzE", "", False, 1.0), ("your-example-key-1234567", "your-example-key-1234567", "", False, 0.0)]
+    for _ in range(KNOWN):
+        phrase = "".join(word().title() + rng.choice("-!$#%*&@^~") for _ in range(rng.randint(2, 4)))
+        token = of(rng.randint(16, 48), string.ascii_letters)
+        for secret in (phrase, token):
+            at = name()
+            rows += [(secret, f"{at}={secret}", "", False, 1.0), (secret, secret, at, True, 1.0)]
+        rows.append((token, token, "", False, 1.0))
+        words = [word() for _ in range(rng.randint(3, 6))]
+        joined = "".join(x.title() for x in words)
+        for other in ("".join(words), "-".join(words), "/".join(words), joined, words[0] + joined, "_".join(words), of(1, string.ascii_letters) * rng.randint(12, 60)):
+            rows.append((other, other, "", False, 0.0))
+        at, called = name(), f"{words[0]}.{words[1]}{words[2].title()}()"
+        rows.append((called, f"{at}={called}", "", False, 0.0))
+        rows.append((f"your_{words[0]}_here", f"{at}=your_{words[0]}_here", "", False, 0.0))
+    return rows
+
+
 def labelled(found: DataFrame) -> DataFrame:
     """The candidates whose label follows from their form, their variants, and what is always known."""
     s = F.col("secret")
-    random = s.rlike("[A-Za-z]") & s.rlike("[0-9].*[^0-9].*[0-9]") & (F.length("secret") >= 12) & ~s.rlike(r"[/.]")
+    with_digits = s.rlike("[A-Za-z]") & s.rlike("[0-9].*[^0-9].*[0-9]") & (F.length("secret") >= 12) & ~s.rlike(r"[/.]")
     named = F.col("word").rlike(_ASSIGNED) | (F.col("before").rlike(NAMES) & F.col("sign"))
-    plain = s.rlike(r"^[0-9+/_.~-]+$") | s.rlike(r"^(?:[a-z]+[./_-])+[a-z]*[0-9]{0,4}$") | s.rlike(r"(.)\1{5,}")
-    label = F.when(s.rlike(HEADS) & random, 1.0).when(named & random, 1.0).when(plain, 0.0)
+    # Without digits: two changes of case, or marks between letters, and no word of the dictionary; not the names or calls of code.
+    mixed = s.rlike(r"[a-z].*[A-Z].*[a-z].*[A-Z]") | s.rlike(r"[A-Za-z][^A-Za-z0-9\s._/()\[\]-].*[A-Za-z]")
+    letters = ~s.rlike("[0-9]") & mixed & (F.length("secret") >= 12) & ~s.rlike(r"[/.()\[\]]") & ~s.rlike(_WORDS)
+    # Words of letters, alone or joined, are no secrets where nothing names them so.
+    prose = s.rlike(r"^[A-Za-z][a-z]*(?:[-_./][A-Za-z]?[a-z]*)*$") & ~s.rlike("(?i)[bcdfghjklmnpqrstvwxz]{5}") & ~named
+    plain = prose | s.rlike(r"^[0-9+/_.~-]+$") | s.rlike(r"^(?:[a-z]+[./_-])+[a-z]*[0-9]{0,4}$") | s.rlike(r"(.)\1{5,}")
+    label = F.when(s.rlike(HEADS) & (with_digits | letters), 1.0).when(named & (with_digits | letters), 1.0).when(plain, 0.0)
+    label = F.when(F.length("secret") <= LONGEST_LABELLED, label)
     rows = found.withColumn("label", label).where("label is not null").select("secret", "word", "before", "sign", "label")
     rank = F.xxhash64("secret", "before")
     rows = rows.distinct().orderBy(rank, "secret", "word", "before", "sign").limit(MAX_FINDINGS)
@@ -138,16 +174,16 @@ def labelled(found: DataFrame) -> DataFrame:
 
     half = F.substring("secret", 1, 6)
     spoiled = F.when(F.col("label") == 1.0, F.array(
+        # Digits are no condition: the same with letters in their place.
+        variant(F.translate("secret", "0123456789", "gkQxZmWvRj"), F.lit(1.0), True),
+        variant(F.translate("secret", "0123456789", "gkQxZmWvRj"), F.lit(1.0), False),
         variant(F.repeat(F.substring("secret", 1, 1), F.length("secret")), F.lit(0.0), True),
         variant(F.concat(F.lit("your-example-token-"), half), F.lit(0.0), True),
         variant(F.concat(F.lit("src/main/module/"), half, F.lit("/index.html")), F.lit(0.0), False),
     )).otherwise(F.array())
     kinds = F.concat(F.array(variant(s, F.col("label"), True), variant(s, F.col("label"), False)), spoiled)
     rows = rows.select(F.inline(kinds))
-    known = [("q7Rk29XvT4mB8nLc0WzE", 1.0), ("your-example-key-1234567", 0.0)]
-    always = found.sparkSession.createDataFrame(
-        [(k, k, "", False, v) for k, v in known], "secret string, word string, before string, sign boolean, label double"
-    )
+    always = found.sparkSession.createDataFrame(_known(), "secret string, word string, before string, sign boolean, label double")
     return rows.union(always)
 
 
