@@ -3,8 +3,9 @@
 Per document: words, symbols, repeated lines and repeated three-word windows, and the base rules on them.
 Across documents: a line is normalised (lower case, outer and repeated blanks dropped, digits as one sign)
 and hashed; the distinct documents that hold it are counted per host, here the source. Lines above
-the limits, that is in at least ``MIN_DOCUMENTS`` distinct documents and in more than ``MAX_SHARE`` of the
-host's distinct documents, are removed as boilerplate. A document that loses more than ``MAX_LOSS``
+the limits are removed as boilerplate: a line of ``LONG_LINE`` words or more in at least ``MIN_DOCUMENTS`` distinct
+documents, however large the host is; a shorter one, which texts may share by chance, if it is also in more than
+``MAX_SHARE`` of the host's distinct documents. ``cleaned`` gives the texts without these lines. A document that loses more than ``MAX_LOSS``
 of its words to them is depleted and rejected, like one that fails the base rules.
 
 Documents with equal texts are one document of their host: copies do not make a line frequent, and
@@ -26,6 +27,7 @@ from knownby.llm.tables import text_or_empty
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 MIN_DOCUMENTS = 10
+LONG_LINE = 8
 MAX_SHARE = 0.02
 MAX_LOSS = 0.5
 WORD = r"[^\x20\x09-\x0D]+"
@@ -93,11 +95,11 @@ def text_digest(text: Column) -> Column:
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
-    """doc_id, source, digest and the per-document counts of ``docs`` (doc_id, source, text)."""
+    """doc_id, source, text, digest and the per-document counts of ``docs`` (doc_id, source, text)."""
     text = text_or_empty()
     lines = lines_with_words(text)
     counted = docs.select(
-        "doc_id", "source", text_digest(text).alias("digest"),
+        "doc_id", "source", "text", text_digest(text).alias("digest"),
         _let(word_list(text), lambda w: F.struct(
             F.size(w).cast("bigint").alias("n_words"), repeated_words(w).alias("n_repeat_words"),
         )).alias("w"),
@@ -109,17 +111,22 @@ def base_rules(docs: DataFrame) -> DataFrame:
         100 * F.col("w.n_repeat_words") > MAX_REPEATED_PERCENT * F.col("w.n_words")
     )
     return counted.select(
-        "doc_id", "source", "digest", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words",
+        "doc_id", "source", "text", "digest", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words",
         failed.alias("base_failed"),
     )
 
 
-def removed_words(docs: DataFrame) -> DataFrame:
-    """(host, digest, removed): words in lines above the limits, of every distinct text that has any."""
+def removed_lines(docs: DataFrame) -> DataFrame:
+    """(host, digest, removed, places): words in lines above the limits and the places of these lines, of every distinct text that has any."""
     text = text_or_empty()
-    lines = F.transform(lines_with_words(text), lambda x: F.struct(
-        line_hash(x).alias("line"), F.regexp_count(x, F.lit(WORD)).alias("words")
-    ))
+
+    def numbered(line: Column, place: Column) -> Column:
+        words = F.regexp_count(line, F.lit(WORD))
+        # The last bit of a line's key says whether the line is long.
+        key = F.shiftleft(F.shiftright(line_hash(line), 1), 1) + (words >= LONG_LINE).cast("bigint")
+        return F.struct(key.alias("line"), words.alias("words"), place.alias("place"))
+
+    lines = F.filter(F.transform(F.split(text, "\n"), numbered), lambda x: x["words"] > 0)
     texts = docs.select(_host().alias("host"), text_digest(text).alias("digest"), lines.alias("lines")).groupBy(
         "host", "digest"
     ).agg(F.first("lines").alias("lines"))
@@ -127,10 +134,13 @@ def removed_words(docs: DataFrame) -> DataFrame:
     frequent = (
         texts.select("host", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
         .groupBy("host", "line").agg(F.count("*").alias("documents"))
-        .where(F.col("documents") >= MIN_DOCUMENTS).join(limits, "host").where("documents >= least").select("host", "line")
+        .where(F.col("documents") >= MIN_DOCUMENTS).join(limits, "host").where("documents >= least or line % 2 != 0")
+        .select("host", "line")
+    )
+    own = texts.select("host", "digest", F.explode("lines").alias("l")).select("host", "digest", "l.*")
+    return own.join(frequent, ["host", "line"]).groupBy("host", "digest").agg(
+        F.sum("words").alias("removed"), F.collect_list("place").alias("places")
     )
-    own = texts.select("host", "digest", F.explode("lines").alias("l")).select("host", "digest", "l.line", "l.words")
-    return own.join(frequent, ["host", "line"]).groupBy("host", "digest").agg(F.sum("words").alias("removed"))
 
 
 def _host() -> Column:
@@ -138,12 +148,21 @@ def _host() -> Column:
     return F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source"))
 
 
-def rate(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, source, text): counts, base_failed, kept, removed words."""
+def _judged(docs: DataFrame) -> DataFrame:
+    """The base rules of every row of ``docs``, kept, n_removed_words, and the text without the lines above the limits."""
     docs = docs.select("doc_id", "source", "text")
-    rated = base_rules(docs).withColumn("host", _host()).join(removed_words(docs), ["host", "digest"], "left")
+    judged = base_rules(docs).withColumn("host", _host()).join(removed_lines(docs), ["host", "digest"], "left")
     removed = F.coalesce("removed", F.lit(0)).cast("bigint")
-    return rated.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (removed <= MAX_LOSS * F.col("n_words"))).alias("kept"), removed.alias("n_removed_words"),
+    lines = F.split("text", "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "places")
+    rest = _let(lines, lambda own: F.array_join(F.transform(stay, lambda k: own[k]), "\n"))
+    return judged.withColumn("text", F.when(F.col("places").isNull(), F.col("text")).otherwise(rest)).withColumn(
+        "n_removed_words", removed
+    ).withColumn("kept", ~F.col("base_failed") & (removed <= MAX_LOSS * F.col("n_words")))
+
+
+def rate(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, source, text): counts, base_failed, kept, removed words."""
+    return _judged(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words",
     )

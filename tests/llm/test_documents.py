@@ -62,6 +62,16 @@ def test_lines_above_the_limits_deplete_a_document(spark):
     assert all(found[i]["kept"] and found[i]["n_removed_words"] == 0 for i in copies)
 
 
+def test_long_lines_go_from_large_hosts_too_and_short_ones_by_share(spark):
+    passage = prose(77, 70)
+    texts = {i: f"{prose(i, 30)}\n{prose(10_000 + i, 30)}" for i in range(3000)}
+    texts |= {5000 + i: f"{passage}\n{prose(5000 + i, 20)}" for i in range(25)}
+    texts |= {6000 + i: f"{prose(6000 + i, 60)}\nread more here" for i in range(25)}
+    found = {r["doc_id"]: r for r in line_frequency.rate(documents(spark, texts)).collect()}
+    assert all(not found[5000 + i]["kept"] and found[5000 + i]["n_removed_words"] == 70 for i in range(25))
+    assert all(r["kept"] and r["n_removed_words"] == 0 for d, r in found.items() if not 5000 <= d < 5025)
+
+
 def test_shards(spark):
     tree = hash_tree_shards.ShardTree.founded(24)
     texts = {i: f"text {i % 7}" for i in range(3000)}
