@@ -166,3 +166,8 @@ def rate(docs: DataFrame) -> DataFrame:
     return _judged(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words",
     )
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """doc_id, source, text, n_removed_words of every kept row of ``docs``: its text without the lines above the limits."""
+    return _judged(docs).where("kept").select("doc_id", "source", "text", "n_removed_words")

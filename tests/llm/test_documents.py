@@ -72,6 +72,18 @@ def test_long_lines_go_from_large_hosts_too_and_short_ones_by_share(spark):
     assert all(r["kept"] and r["n_removed_words"] == 0 for d, r in found.items() if not 5000 <= d < 5025)
 
 
+def test_cleaned_texts_lack_the_lines_above_the_limits(spark):
+    shared = prose(77, 12)
+    texts = {i: f"{shared} {i}\n\n{prose(i, 40)}\n  {shared.upper()} 7\n{prose(100 + i, 40)}\n" for i in range(12)}
+    texts |= {50: prose(50, 60), 51: "too short"}
+    rows = {r["doc_id"]: r for r in line_frequency.cleaned(documents(spark, texts)).collect()}
+    want = {i: f"\n{prose(i, 40)}\n{prose(100 + i, 40)}\n" for i in range(12)} | {50: texts[50]}
+    assert {d: r["text"] for d, r in rows.items()} == want
+    rated = {r["doc_id"]: r for r in line_frequency.rate(documents(spark, texts)).collect()}
+    for d, r in rows.items():
+        assert rated[d]["kept"] and r["n_removed_words"] == rated[d]["n_removed_words"] == len(texts[d].split()) - len(r["text"].split())
+
+
 def test_shards(spark):
     tree = hash_tree_shards.ShardTree.founded(24)
     texts = {i: f"text {i % 7}" for i in range(3000)}
