@@ -32,8 +32,6 @@ SHARD_WORDS = 1_000_000
 #: A block has so many words, or fewer where the smallest source asks for finer ones.
 BLOCK_WORDS, BLOCKS_PER_SOURCE = 256, 1000
 SEED = 17
-#: Seats per row looked at on either side of rounding.
-STEPS = 8
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -52,7 +50,11 @@ def apportion(rows: DataFrame, group: list[str], weight: str, seats: str, name:
     begun = rows.withColumn("_start", start.cast("bigint")).withColumn(
         "_missing", F.col(seats) - F.sum("_start").over(whole)
     )
-    step = F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1)))
+    # Of n rows with weights, the divisor for seats + n / 2 gives out enough and that for seats - n / 2 not too many, so no row
+    # is further from its seats than its part of n / 2 (and a seat or two by rounding): in all a few steps per row.
+    n, total = F.sum((F.col(weight) > 0).cast("int")).over(whole), F.greatest(F.sum(weight).over(whole), F.lit(1e-300))
+    begun = begun.withColumn("_reach", F.least(F.abs("_missing"), F.ceil(F.col(weight) * n / (2 * total)) + 2))
+    step = F.explode(F.sequence(F.lit(0), F.col("_reach") - 1))
     steps = begun.where("_missing != 0").select(*group, *tie, "_start", "_missing", F.col(weight).alias("_weight"), step.alias("_step"))
     more = F.col("_missing") > 0
     seat = F.when(more, F.col("_start") + F.col("_step")).otherwise(F.col("_start") - 1 - F.col("_step"))
@@ -65,7 +67,7 @@ def apportion(rows: DataFrame, group: list[str], weight: str, seats: str, name:
     )
     return begun.join(moved, [*group, *tie], "left").withColumn(
         name, F.col("_start") + F.coalesce("_moved", F.lit(0))
-    ).drop("_start", "_missing", "_moved")
+    ).drop("_start", "_missing", "_reach", "_moved")
 
 
 def source_targets(sources: DataFrame) -> DataFrame:

@@ -165,6 +165,17 @@ def test_apportionment_is_that_of_highest_quotients(spark):
     assert got == {i: want.get(i, 0) for i in range(len(weights))}
 
 
+@pytest.mark.parametrize("small", [0.55, 0.45])
+def test_apportionment_with_one_hot_row_beside_many_small_ones(spark, small):
+    """All small rows round to the same side, and the hot one has to make up for hundreds of seats."""
+    weights, seats = [10_000.0] + [small] * 1000, 10_000 + round(1000 * small)
+    quotients = [(w / (2 * n + 1), -i) for i, w in enumerate(weights) for n in range(seats if i == 0 else 3)]
+    want = Counter(-i for _, i in sorted(quotients, reverse=True)[:seats])
+    rows = spark.createDataFrame([(0, i, w, seats) for i, w in enumerate(weights)], "g int, i int, w double, s long")
+    got = {r["i"]: r["q"] for r in apportion_mix.apportion(rows, ["g"], "w", "s", "q", ["i"]).collect()}
+    assert got == {i: want.get(i, 0) for i in range(len(weights))}
+
+
 def test_mix_of_odd_and_empty_tables(spark):
     assert apportion_mix.mix(frame(spark)).count() == len(odd_rows())
     assert apportion_mix.mix(frame(spark, [])).count() == 0
