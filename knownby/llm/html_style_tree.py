@@ -11,7 +11,10 @@ templates that many sites share stand out; a node counts by the lower of its two
 either tree only if ``MIN_PAGES`` pages have it. Numbers and the host's own name in a text do not count.
 
 What HTML itself names as no part of an article (menus, headers, footers, sidebars, forms, scripts,
-adverts, notices and comments, by tag, role or class) goes whatever its entropy, and where a page has
+adverts, notices and comments, by tag, role or class) goes whatever its entropy, as comments differ on each page
+like articles do. A class or id only says so by a token that begins or ends with such a word and does not deny it
+(no-sidebar, has-comments), and never of a branch that holds the page's longest article or, on a page
+without one, more than half of its text. Where a page has
 an article or main element its text is what lies in there. Plain paragraphs and headings of an
 article stay even if many pages repeat them, as mirrored pages do.
 
@@ -68,6 +71,10 @@ NO_TEXT_WORDS = frozenset(
     "subscribe subscription signup comment comments disqus respond reply replies related recommended share sharing social "
     "widget pagination pager toolbar login search skip disclaimer copyright".split()
 )
+#: A token with one of these says what is beside the element or missing, not what it is.
+DENIALS = frozenset("no not non without with has have hide hides hidden layout".split())
+#: The head of an entry holds its title.
+HEADS, ENTRY = frozenset(("header", "masthead")), frozenset("entry post article story content title".split())
 ARTICLE = frozenset(("article", "main"))
 PLAIN = frozenset("article main p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 
@@ -91,6 +98,10 @@ class Node:
     children: list[str]
     #: Paths of this node and its ancestors that the tree may remove.
     removable: tuple[str, ...]
+    #: This node and its ancestors that are named like no part of an article.
+    named: tuple[Node, ...] = ()
+    #: The outermost article that this node is in.
+    article: Node | None = None
 
 
 @dataclass(slots=True)
@@ -99,15 +110,24 @@ class Block:
     text: str
 
 
+def _names_no_article(value: str) -> bool:
+    for token in value.split():
+        parts = _NAME_WORD.findall(token)
+        if parts and DENIALS.isdisjoint(parts):
+            if any(x in NO_TEXT_WORDS and not (x in HEADS and not ENTRY.isdisjoint(parts)) for x in (parts[0], parts[-1])):
+                return True
+    return False
+
+
 def _open(tag: str, rest: str, parent: Node | None) -> Node:
-    classes, role, words = [], "", set()
+    classes, role, named = [], "", False
     if "=" in rest:
         for name, *values in _ATTRIBUTE.findall(rest):
             value = next((v for v in values if v), "").lower()
             if name.lower() == "role":
                 role = value.strip()
             else:
-                words.update(_NAME_WORD.findall(value))
+                named = named or _names_no_article(value)
                 if name.lower() == "class":
                     classes = sorted(_NUMBER.sub("N", value).replace("/", "_").split())
     label = ".".join([tag, *classes])
@@ -117,12 +137,15 @@ def _open(tag: str, rest: str, parent: Node | None) -> Node:
     in_article = parent.in_article or tag in ARTICLE or role == "main"
     outside = (
         parent.outside or tag in NO_TEXT or role in NO_TEXT_ROLES or (tag == "header" and not parent.in_article)
-        or (tag not in ("html", "body") and not NO_TEXT_WORDS.isdisjoint(words))
     )
+    named = named and tag not in ("html", "body")
     deep = parent.depth >= MAX_DEPTH
     path = parent.path if deep else f"{parent.path}/{label}"
     plain = tag in ("html", "body") or (in_article and tag in PLAIN)
-    return Node(tag, path, parent.depth + 1, outside, in_article, [], parent.removable if plain or deep else (*parent.removable, path))
+    node = Node(tag, path, parent.depth + 1, outside, in_article, [], parent.removable if plain or deep else (*parent.removable, path))
+    node.named = (*parent.named, node) if named else parent.named
+    node.article = parent.article or (node if in_article and not named else None)
+    return node
 
 
 def parse(html: str) -> tuple[list[Block], list[Node]]:
@@ -204,11 +227,31 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
     return blocks, nodes
 
 
+def _unnamed(blocks: list[Block]) -> list[Block]:
+    """Without the branches that are named like no part of an article, unless they hold the page's article or most of its text."""
+    if not any(b.node.named for b in blocks):
+        return blocks
+    articles: Counter[int] = Counter()
+    held: Counter[int] = Counter()
+    above: dict[int, tuple[Node, ...]] = {}
+    for b in blocks:
+        if b.node.article:
+            articles[id(b.node.article)] += len(b.text)
+            above[id(b.node.article)] = b.node.article.named
+        held.update({id(n): len(b.text) for n in b.node.named})
+    if articles:
+        stay = {id(n) for n in above[articles.most_common(1)[0][0]]}
+    else:
+        total = sum(len(b.text) for b in blocks)
+        stay = {k for k, n in held.items() if 2 * n > total}
+    return [b for b in blocks if all(id(n) in stay for n in b.node.named)]
+
+
 def article_text(html: str | None, removed: frozenset[str]) -> str:
     """The blocks that neither HTML nor the host's tree takes out, one per line."""
     if not html:
         return ""
-    blocks = [b for b in parse(html)[0] if not b.node.outside]
+    blocks = _unnamed([b for b in parse(html)[0] if not b.node.outside])
     inner = [b for b in blocks if b.node.in_article]
     return "\n".join(b.text for b in inner or blocks if removed.isdisjoint(b.node.removable))
 

@@ -41,6 +41,23 @@ def test_article_text(html, text):
     assert tree.article_text(html, frozenset()) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class='layout no-sidebar'><p>the page</p></div>", "the page"),
+        ("<div class='with-comments'><p>the page</p><div class=comments>no</div></div>", "the page"),
+        ("<article class='post has-comments'><p>the page</p></article>", "the page"),
+        ("<article><div class='entry-header'><h1>title</h1></div><p>body</p></article>", "title\nbody"),
+        ("<div class=sidebar><main><p>the page</p></main></div><div class=share>no</div>", "the page"),
+        ("<div class='page social'><p>most of the text of this page</p><div class='related'>no</div></div><p>end</p>", "most of the text of this page\nend"),
+        ("<article><p>the longest text</p></article><div class=comments><article>short</article></div>", "the longest text"),
+        ("<article>short</article><div class=comments><p>a comment longer than the article</p></div>", "short"),
+    ],
+)
+def test_class_words_take_out_no_article(html, text):
+    assert tree.article_text(html, frozenset()) == text
+
+
 def test_very_deep_and_very_long_pages():
     deep = "<div>" * 20_000 + "x" + "</div>" * 20_000
     assert tree.article_text(deep, frozenset()) == "x"
