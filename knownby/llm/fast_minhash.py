@@ -8,7 +8,7 @@ is done as soon as its bins are full. Two sets agree in a coordinate with probab
 to their Jaccard similarity, and the number of agreements is concentrated as for independent ones.
 
 Candidates share one of ``BANDS`` bands of ``ROWS`` coordinates. A pair of similarity 0.8 is missed with
-probability (1 - 0.8**8)**40 = 6e-4, one of 0.85 with 3e-6. Links are confirmed on the full sets.
+probability (1 - 0.8**7)**54 = 3e-6, one of 0.85 with 9e-10. Links are confirmed on the full sets.
 
 Exact copies of a set are one node. What is emitted is never all pairs of a bucket: first every member
 is compared with one other, the bucket's least (a star, one row per member), then the members
@@ -16,7 +16,7 @@ outside the least component with one of it. Most buckets are then within one com
 those that still hold several, members of different components are compared by size and sketch inside the join,
 whose partitions Spark splits where a bucket is large, and only pairs that can still be links come out, each in the first
 band that it shares. A pair is dismissed there if its estimate lies ``DEVIATIONS`` standard deviations below
-the threshold. Nothing is capped.
+the threshold, which happens to a link with probability 3e-7. Nothing is capped.
 
 Texts travel once for all documents, and are kept for those that share a bucket with another; the tests of
 links read only these.
@@ -39,10 +39,10 @@ from knownby.llm import words as W
 from knownby.llm.components import components
 from knownby.llm.tables import discard, stored
 
-BANDS, ROWS = 40, 8
+BANDS, ROWS = 54, 7
 #: The bands use the first coordinates; estimates use them all.
 SKETCH = 512
-DEVIATIONS = 4
+DEVIATIONS = 5
 FIRST_BANDS, STARS = 2, 2
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ROUND_SEEDS = W.mix(np.arange(1, 2 * SKETCH + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))

@@ -91,6 +91,17 @@ def test_every_coordinate_fills_and_estimates_the_similarity():
     assert abs((a == b).mean() - 240 / 400) < 0.12
 
 
+def test_no_pair_at_the_threshold_is_lost():
+    """10,000 pairs of similarity 0.8: each shares a band, and its estimate passes."""
+    rng = np.random.default_rng(2)
+    cut = 0.8 - fast_minhash.DEVIATIONS * (0.8 * 0.2 / fast_minhash.SKETCH) ** 0.5
+    for _ in range(10):
+        items = rng.integers(0, 2**63, (1000, 100)).astype(np.uint64)
+        a, b = (fast_minhash.sketches(list(x)) for x in (items[:, :90], items[:, 10:]))
+        assert (fast_minhash.band_keys(a) == fast_minhash.band_keys(b)).any(1).all()
+        assert ((a == b).mean(1) >= cut).all()
+
+
 def test_components_of_long_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     found = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
