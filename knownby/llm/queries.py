@@ -14,10 +14,13 @@ from knownby.llm import (
     ftrl_quality,
     hash_tree_shards,
     html_style_tree,
+    jacobi_davidson,
     line_frequency,
     secret_forest,
     semicrf_pii,
+    spelling_variants,
     token_counts,
+    voronoi_knn,
 )
 from knownby.llm.tables import table
 
@@ -83,3 +86,18 @@ def op8_semicrf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_forest.find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@_query
+def op11_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jacobi_davidson.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@_query
+def op12_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_knn.top_by_inner_product(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents", "doc_id", "text"))
