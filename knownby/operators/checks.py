@@ -64,17 +64,15 @@ def contiguous_index(df: DataFrame, column: str, size: int) -> DataFrame:
     inside = steps.filter(F.col("value") - F.col("prior") > 1).select(
         (F.col("prior") + 1).alias("lo"), (F.col("value") - 1).alias("hi")
     )
-    # One row per non-empty block; blocks are at most size / 65536 rows in one window.
+    # One row per non-empty block; those rows are scanned in blocks again.
     edges = in_range.groupBy("block").agg(F.min(value).alias("first"), F.max(value).alias("last"))
     ends = edges.select("first", "last").unionByName(
         df.sparkSession.createDataFrame([(0, 0), (size + 1, size + 1)], "first long, last long")
     )
-    across = ends.select(
-        F.col("first").alias("value"),
-        F.lag("last").over(Window.orderBy("first")).alias("prior"),
-    ).filter(F.col("value") - F.col("prior") > 1).select(
-        (F.col("prior") + 1).alias("lo"), (F.col("value") - 1).alias("hi")
-    )
+    blocks = ends.withColumn("_block", number_block(F.col("first"), block_size * 1_024))
+    across = carried_before(blocks, [], "_block", "first", {"prior": ("last", "last")}).filter(
+        F.col("first") - F.col("prior") > 1
+    ).select((F.col("prior") + 1).alias("lo"), (F.col("first") - 1).alias("hi"))
     gaps = inside.unionByName(across)
     return all_of(
         violations(present.filter("n > 1"), "DUPLICATE_INDEX", value, F.col("n")),

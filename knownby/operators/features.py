@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from knownby.operators.scans import carried_before, rolling_before, time_block, trailing_time
+from knownby.operators.scans import carried_before, depth_blocks, rolling_before, trailing_time
 
 
 def team_matches(matches: DataFrame) -> DataFrame:
@@ -24,14 +24,14 @@ def team_matches(matches: DataFrame) -> DataFrame:
     return matches.select("season", "match_id", "event_time", F.inline(sides))
 
 
-def form_features(teams: DataFrame, window: int, congestion_days: int, block_days: int = 1) -> DataFrame:
+def form_features(teams: DataFrame, window: int, congestion_days: int, block_rows: int = 65_536) -> DataFrame:
     """Form over the last ``window`` matches, rest days and congestion: earlier matches only.
 
     Earlier is strictly before the instant: of matches that begin together none knows another.
-    The order of a team's matches is (event_time, match_id); ``block_days`` cuts a team's
-    history into blocks for the running count.
+    The order of a team's matches is (event_time, match_id); a team's history is cut into
+    blocks of about ``block_rows`` matches for the running count.
     """
-    blocked = teams.withColumn("_block", time_block(F.col("event_time"), block_days))
+    blocked = depth_blocks(teams, ["team"], "event_time", block_rows, "_block")
     formed = rolling_before(
         blocked, ["team"], "_block", ["event_time", "match_id"], window,
         {
@@ -60,9 +60,9 @@ def _as_first_of_instant(df: DataFrame, group: list[str], columns: list[str]) ->
     return df.withColumns({c: F.first(c).over(together) for c in columns})
 
 
-def table_before(teams: DataFrame, block_days: int = 1) -> DataFrame:
+def table_before(teams: DataFrame, block_rows: int = 65_536) -> DataFrame:
     """Season points, goal difference and games played strictly before every match of a team."""
-    blocked = teams.withColumn("_block", time_block(F.col("event_time"), block_days)).withColumn(
+    blocked = depth_blocks(teams, ["season", "team"], "event_time", block_rows, "_block").withColumn(
         "_goal_difference", F.col("goals_for") - F.col("goals_against")
     ).withColumn("_one", F.lit(1))
     added = carried_before(

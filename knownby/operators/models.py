@@ -1,4 +1,4 @@
-"""Fits with Spark ML: goal rates, outcome challengers and calibrators.
+"""Fits with Spark ML: regularised goal rates and outcome challengers (see ``fits`` and ``calibration`` for the others).
 
 Every fit sees only the rows it is given (training or calibration block); every seed and
 hyper-parameter is the caller's.
@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, IsotonicRegression
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,26 +83,3 @@ def boosting_probabilities(models: Sequence[PipelineModel], rows: DataFrame, nam
         )
     total = sum((F.col(f"_raw{i}") for i in range(len(models))), F.lit(0.0))
     return scored.select(*rows.columns, *[(F.col(f"_raw{i}") / total).alias(n) for i, n in enumerate(names)])
-
-
-def fit_platt(calibration: DataFrame, score: str, label: str) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=[score], outputCol="features")
-    return Pipeline(stages=[assembler, LogisticRegression(labelCol=label)]).fit(calibration)
-
-
-def apply_platt(model: PipelineModel, rows: DataFrame, out: str) -> DataFrame:
-    p = F.get(vector_to_array(F.col("probability")), F.lit(1))
-    return model.transform(rows).select(*rows.columns, p.alias(out))
-
-
-def fit_isotonic(calibration: DataFrame, score: str, label: str):
-    """Equal scores are merged first (mean label, row count as weight): same fit, and the
-    final pooling step sees distinct scores instead of rows."""
-    merged = calibration.groupBy(score).agg(
-        F.avg(F.col(label).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight")
-    )
-    return IsotonicRegression(featuresCol=score, labelCol="label", weightCol="weight").fit(merged)
-
-
-def apply_isotonic(model, rows: DataFrame, score: str, out: str) -> DataFrame:
-    return model.transform(rows).select(*rows.columns, F.col("prediction").alias(out))

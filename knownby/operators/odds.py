@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from knownby.functions.scalars import implied_probability
 from knownby.functions.timeops import lag_seconds
-from knownby.operators.scans import carried_through, time_block
+from knownby.operators.scans import carried_through, depth_blocks
 
 OFFER = ("snapshot_id", "provider_event_id", "bookmaker", "market_family", "market_instance")
 OBSERVATION_KEY = (*OFFER, "outcome_key")
@@ -162,13 +162,13 @@ def price_milestones(
 
 def nearest_before(
     requests: DataFrame, observations: DataFrame, key: Sequence[str], request_id: str,
-    cutoff: str, known_at: str, payload: Sequence[str], tie_break: str, days_per_block: int = 1,
+    cutoff: str, known_at: str, payload: Sequence[str], tie_break: str, block_rows: int = 65_536,
 ) -> DataFrame:
     """As-of join: for each request the latest observation of its key with known_at not
     after the cutoff, plus its age. Never looks forward.
 
     Both sides are stacked on one time line and the last observation is carried forward in
-    blocks, so neither a hot key nor a long history sits in one task or makes pairs.
+    blocks of about ``block_rows`` rows, so neither a hot key nor a long history sits in one task or makes pairs.
     """
     carried = F.struct(F.col(known_at).alias("known_at"), *[F.col(c) for c in payload])
     stacked = (
@@ -184,8 +184,8 @@ def nearest_before(
             allowMissingColumns=True,
         )
         .filter("_at is not null")
-        .withColumn("_block", time_block(F.col("_at"), days_per_block))
     )
+    stacked = depth_blocks(stacked, key, "_at", block_rows, "_block")
     scanned = carried_through(stacked, key, "_block", ["_at", "_side", "_tie", "_request"], {"_last": ("_seen", "last")})
     return scanned.filter("_side = 1").select(
         *key,

@@ -38,6 +38,10 @@ _REDUCERS = {
 }
 
 
+#: Blocks of a whole table that are scanned together on the second level.
+SUPER = 1_024
+
+
 def _scan(
     df: DataFrame,
     group: Sequence[str],
@@ -57,15 +61,22 @@ def _scan(
     summary = df.groupBy(*group, block).agg(
         *[_REDUCERS[how][1](F.col(c), at).alias(f"_all_{out}") for out, (c, how) in values.items()]
     )
-    ahead = Window.partitionBy(*group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
-        *group,
-        block,
-        *[
-            _REDUCERS[how][0](F.col(f"_all_{out}")).over(ahead).alias(f"_carry_{out}")
-            for out, (_, how) in values.items()
-        ],
-    )
+    if group:
+        ahead = Window.partitionBy(*group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+        carried = summary.select(
+            *group,
+            block,
+            *[
+                _REDUCERS[how][0](F.col(f"_all_{out}")).over(ahead).alias(f"_carry_{out}")
+                for out, (_, how) in values.items()
+            ],
+        )
+    else:
+        # All blocks are one group: they are scanned in blocks themselves.
+        outer = summary.withColumns({"_super": F.floor(F.col(block) / SUPER), "_whole": F.lit(0)})
+        carried = _scan(
+            outer, ["_whole"], "_super", [block], {f"_carry_{out}": (f"_all_{out}", how) for out, (_, how) in values.items()}, -1
+        ).select(block, *[f"_carry_{out}" for out in values])
     return local.join(carried, [*group, block], "left").select(
         *df.columns,
         *[
@@ -96,9 +107,35 @@ def number_block(order: Column, size: int = 65_536) -> Column:
     return F.floor(order / F.lit(size))
 
 
-def time_block(order: Column, days: int = 1) -> Column:
-    """Blocks of whole days of an instant."""
-    return F.floor(F.unix_micros(order) / F.lit(days * 86_400_000_000))
+#: Blocks of a group at most, and how many a row looks through on each of two levels.
+MOST_BLOCKS, FAN = 1_024, 32
+
+
+def depth_blocks(df: DataFrame, group: Sequence[str], order: str, rows: int = 65_536, name: str = "block") -> DataFrame:
+    """Add ``name``: blocks of about ``rows`` rows in the order of the numeric or instant column ``order``.
+
+    The bounds are quantiles of every group, from sketches that the map tasks combine, so a busy day or
+    a dense stretch of numbers is cut like any other. A group gets as many blocks as its rows ask for, ``MOST_BLOCKS`` at
+    most (beyond that blocks grow). Rows of equal order share a block; rows without order are in the first.
+    """
+    keys = list(group)
+    place = F.unix_micros(order) if df.schema[order].dataType.typeName() == "timestamp" else F.col(order)
+    placed = df.withColumn("_place", place)
+    cuts = [k / MOST_BLOCKS for k in range(1, MOST_BLOCKS)]
+    sketched = placed.groupBy(*keys).agg(
+        F.percentile_approx("_place", cuts, 4 * MOST_BLOCKS).alias("_all"), F.count("_place").alias("_rows")
+    ).where(F.col("_rows") > rows)
+    # Of the quantiles every so many-th bounds a block.
+    step = F.greatest(F.lit(1), F.floor(F.lit(MOST_BLOCKS * rows) / F.col("_rows"))).cast("int")
+    bounds = sketched.select(*keys, F.array_distinct(F.filter("_all", lambda _, i: (i + 1) % step == 0)).alias("_bounds"))
+    coarse = F.filter("_bounds", lambda _, i: i % FAN == 0)
+    bounds = bounds.withColumn("_coarse", coarse)
+    joined = placed.join(bounds, keys, "left") if keys else placed.join(F.broadcast(bounds), F.lit(True), "left")
+    # Bounds below the row: first among every FAN-th, then among those from the last of these on.
+    over = F.size(F.filter("_coarse", lambda b: b < F.col("_place")))
+    inner = F.size(F.filter(F.slice("_bounds", (over - 1) * FAN + 1, FAN), lambda b: b < F.col("_place")))
+    found = F.when(F.col("_bounds").isNotNull() & F.col("_place").isNotNull() & (over > 0), (over - 1) * FAN + inner)
+    return joined.withColumn(name, F.coalesce(found, F.lit(0)).cast("bigint")).drop("_bounds", "_coarse", "_place")
 
 
 def rolling_before(

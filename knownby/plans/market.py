@@ -167,7 +167,7 @@ def odds_as_of_cutoff(t: Tables) -> DataFrame:
         (F.col("o_custkey") % 60).alias("key"), F.col("o_orderkey").alias("request_id"), F.col("o_orderdate").alias("cutoff")
     )
     found = O.nearest_before(
-        requests, observations, ["key"], "request_id", "cutoff", "seen_at", ["price"], "tie", days_per_block=30
+        requests, observations, ["key"], "request_id", "cutoff", "seen_at", ["price"], "tie"
     )
     return found.select(
         "key", "request_id", F.date_format("known_at", "yyyy-MM-dd").alias("known_on"), "price", "staleness_seconds"

@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knownby.functions.scalars import decay_weight
+from knownby.operators import calibration as I
 from knownby.operators import drift as D
 from knownby.operators import economics as E
 from knownby.operators import evaluation as V
 from knownby.operators import features as X
+from knownby.operators import fits as L
 from knownby.operators import models as M
 from knownby.operators import quality as Q
 from knownby.operators import scoring as S
 from knownby.operators.decisions import state_at_cutoff, state_rates
 from knownby.operators.parlay import parlay_summary
 from knownby.operators.ratings import elo_ratings
+from knownby.operators.scans import depth_blocks
 from knownby.plans.consistency import order_assessments
 from knownby.plans.registry import Tables, query
 
@@ -380,8 +383,8 @@ def paper_returns(t: Tables) -> DataFrame:
       SELECT o_orderpriority, sum(profit)::DOUBLE AS profit, max(peak - run)::DOUBLE AS max_drawdown FROM p GROUP BY ALL""",
 )
 def paper_drawdown(t: Tables) -> DataFrame:
-    rows = _settled(t).withColumn("month", F.date_trunc("month", "o_orderdate"))
-    return E.drawdown(rows, ["o_orderpriority"], "month", ["o_orderdate", "o_orderkey"])
+    rows = depth_blocks(_settled(t).withColumn("at", F.col("o_orderdate").cast("timestamp")), ["o_orderpriority"], "at")
+    return E.drawdown(rows, ["o_orderpriority"], "block", ["o_orderdate", "o_orderkey"])
 
 
 @query(
@@ -567,6 +570,57 @@ def parlay(t: Tables) -> DataFrame:
 # ---- fitted models: no SQL twin, checked on properties in the tests ---------------------
 
 
+_RATE_ROUNDS = 8
+# One row per round, competition and team: attack, defence, and the competition's home factor.
+_RATES_SQL = "WITH RECURSIVE " + _MT + f""", tr AS (SELECT * FROM mt WHERE season < 1999),
+  pr AS (SELECT competition, a, d, h, count(*) AS n, sum(g) AS g FROM (
+    SELECT competition, home_team AS a, away_team AS d, 1 AS h, home_goals AS g FROM tr UNION ALL
+    SELECT competition, away_team, home_team, 0, away_goals FROM tr) GROUP BY ALL),
+  tm AS (SELECT DISTINCT competition, a AS team FROM pr),
+  fit(i, competition, team, att, def, home) AS (
+    SELECT 0, competition, team, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE FROM tm
+    UNION ALL
+    SELECT i + 1, competition, team, att, def, home FROM (
+      WITH na AS (SELECT f.i, p.competition, p.a AS team, sum(p.g) / sum(p.n * f.def * CASE h WHEN 1 THEN f.home ELSE 1 END) AS att
+          FROM fit f JOIN pr p ON p.competition = f.competition AND p.d = f.team WHERE f.i < {_RATE_ROUNDS} GROUP BY ALL),
+        hm AS (SELECT DISTINCT competition, home FROM fit),
+        nd AS (SELECT p.competition, p.d AS team, sum(p.g) / sum(p.n * na.att * CASE h WHEN 1 THEN hm.home ELSE 1 END) AS def
+          FROM na JOIN pr p ON p.competition = na.competition AND p.a = na.team JOIN hm ON hm.competition = p.competition GROUP BY ALL),
+        nh AS (SELECT p.competition, sum(p.g) / sum(p.n * na.att * nd.def) AS home
+          FROM pr p JOIN na ON p.competition = na.competition AND p.a = na.team JOIN nd ON p.competition = nd.competition AND p.d = nd.team WHERE h = 1 GROUP BY ALL)
+      SELECT na.i, na.competition, na.team, att, def, nh.home FROM na JOIN nd USING (competition, team) JOIN nh USING (competition))),
+  done AS (SELECT * FROM fit WHERE i = {_RATE_ROUNDS})
+"""
+
+
+def _scaled_rates(t: Tables) -> L.GoalRates:
+    return L.fit_goal_rates_by_scaling(order_matches(t).filter("season < 1999"), ["competition"], _RATE_ROUNDS)
+
+
+@query(
+    "scaled_goal_rates",
+    _RATES_SQL + """SELECT match_id, round(x.att * y.def * x.home, 4) AS home_rate, round(y.att * x.def, 4) AS away_rate
+      FROM mt JOIN done x ON x.competition = mt.competition AND x.team = home_team
+        JOIN done y ON y.competition = mt.competition AND y.team = away_team WHERE season >= 1999""",
+)
+def scaled_goal_rates(t: Tables) -> DataFrame:
+    return _rounded(L.predict_goal_rates_by_scaling(_scaled_rates(t), order_matches(t).filter("season >= 1999")), 4)
+
+
+@query(
+    "goal_rate_score_equations",
+    _RATES_SQL + """SELECT competition, team, round(att, 4) AS attack, CAST(sum(g) AS DOUBLE) AS goals_for, round(sum(rate), 3) AS expected_for
+      FROM (SELECT x.competition, x.team, x.att, p.g, p.n * x.att * y.def * CASE h WHEN 1 THEN x.home ELSE 1 END AS rate
+        FROM pr p JOIN done x ON x.competition = p.competition AND x.team = p.a JOIN done y ON y.competition = p.competition AND y.team = p.d)
+      GROUP BY competition, team, att""",
+)
+def goal_rate_score_equations(t: Tables) -> DataFrame:
+    """How near expected goals are to scored ones: the gradient of the likelihood is their difference."""
+    return _scaled_rates(t).attack.select(
+        "competition", "team", F.round("attack", 4).alias("attack"), "goals_for", F.round("expected_for", 3).alias("expected_for")
+    )
+
+
 @query("fitted_goal_rates")
 def fitted_goal_rates(t: Tables) -> DataFrame:
     matches = order_matches(t)
@@ -596,6 +650,29 @@ def outcome_logistic_challenger(t: Tables) -> DataFrame:
     return _rounded(M.outcome_probabilities(model, rows.filter("season >= 1999").select("match_id", *_FEATURES), _NAMES), 4)
 
 
+_LOGISTIC_SQL = "WITH " + _TM + """, lt AS (SELECT season, venue, gf, ga, coalesce(sum(points) OVER w, 0) AS season_points,
+      coalesce(sum(gf - ga) OVER w, 0) AS season_goal_difference, count(*) OVER w AS season_games FROM tp
+      WINDOW w AS (PARTITION BY season, team ORDER BY event_time RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)),
+    o AS (SELECT CAST(CASE WHEN gf > ga THEN 0 WHEN gf = ga THEN 1 ELSE 2 END AS INTEGER) AS outcome, * FROM lt WHERE venue = 'HOME' AND season < 1999)
+    SELECT outcome, f.feature, CAST(sum(CASE f.feature WHEN 'rows' THEN 1 WHEN 'season_points' THEN season_points
+      WHEN 'season_goal_difference' THEN season_goal_difference ELSE season_games END) AS DOUBLE) AS total
+    FROM o, (VALUES ('rows'), ('season_points'), ('season_goal_difference'), ('season_games')) f(feature) GROUP BY ALL"""
+
+
+@query("outcome_logistic_score_equations", _LOGISTIC_SQL)
+def outcome_logistic_score_equations(t: Tables) -> DataFrame:
+    """At the maximum of the likelihood the fitted totals of every feature per class are the observed ones."""
+    rows = _outcome_rows(t).filter("season < 1999")
+    fit = L.fit_logistic(rows, _FEATURES, "label", 3)
+    scored = L.outcome_probabilities(fit, rows, _NAMES)
+    entries = F.array(*[
+        F.struct(F.lit(k).alias("outcome"), F.lit(f).alias("feature"), (F.col(p) * (F.lit(1.0) if f == "rows" else F.col(f))).alias("part"))
+        for k, p in enumerate(_NAMES) for f in ("rows", *_FEATURES)
+    ])
+    totals = scored.select(F.inline(entries)).groupBy("outcome", "feature").agg(F.sum("part").alias("total"))
+    return totals.select("outcome", "feature", F.round("total", 3).alias("total"))
+
+
 @query("outcome_boosting_challenger")
 def outcome_boosting_challenger(t: Tables) -> DataFrame:
     rows = _outcome_rows(t)
@@ -603,13 +680,36 @@ def outcome_boosting_challenger(t: Tables) -> DataFrame:
     return _rounded(M.boosting_probabilities(models, rows.filter("season >= 1999").select("match_id", *_FEATURES), _NAMES), 4)
 
 
-@query("platt_calibration")
+_PLATT_ROUNDS = 12
+_PLATT_SQL = f"""WITH RECURSIVE {_FC}, fit(i, a, b) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, a + (g0 * h11 - g1 * h01) / (h00 * h11 - h01 * h01), b + (g1 * h00 - g0 * h01) / (h00 * h11 - h01 * h01) FROM (
+    SELECT i, a, b, sum(y - q) AS g0, sum((y - q) * p) AS g1, sum(q * (1 - q)) AS h00, sum(q * (1 - q) * p) AS h01, sum(q * (1 - q) * p * p) AS h11
+    FROM (SELECT i, a, b, y, p, 1 / (1 + exp(-(a + b * p))) AS q FROM fit, fc WHERE seg = 0 AND i < {_PLATT_ROUNDS}) GROUP BY i, a, b))
+SELECT doc_id, y, seg, round(p, 4) AS p, round(1 / (1 + exp(-(a + b * p))), 4) AS p_calibrated
+FROM fc, (SELECT a, b FROM fit WHERE i = {_PLATT_ROUNDS})"""
+
+
+@query("platt_calibration", _PLATT_SQL)
 def platt_calibration(t: Tables) -> DataFrame:
     rows = _forecasts(t)
-    return _rounded(M.apply_platt(M.fit_platt(rows.filter("seg = 0"), "p", "y"), rows, "p_calibrated"), 4)
+    return _rounded(L.apply_platt(L.fit_platt(rows.filter("seg = 0"), "p", "y"), rows, "p_calibrated"), 4)
+
+
+# Each fitted value is the largest, over scores up to its own, of the least mean label of a stretch that begins there and holds it.
+_ISO_SQL = f"""WITH {_FC}, d AS (SELECT p, count(*) AS w, sum(y) AS s FROM fc WHERE seg = 0 GROUP BY p),
+  c AS (SELECT p, row_number() OVER (ORDER BY p) AS i, sum(w) OVER (ORDER BY p) AS w, sum(s) OVER (ORDER BY p) AS s, w AS own_w, s AS own_s FROM d),
+  m AS (SELECT a.i AS a, b.i AS b, (b.s - a.s + a.own_s) / CAST(b.w - a.w + a.own_w AS DOUBLE) AS mean FROM c a JOIN c b ON a.i <= b.i),
+  least_ AS (SELECT a, b AS i, min(mean) OVER (PARTITION BY a ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v FROM m),
+  f AS (SELECT c.p, max(v) AS v FROM least_ JOIN c USING (i) GROUP BY c.p),
+  n AS (SELECT fc.*, (SELECT max(p) FROM f WHERE f.p <= fc.p) AS lo, (SELECT min(p) FROM f WHERE f.p >= fc.p) AS hi FROM fc)
+SELECT doc_id, y, seg, round(n.p, 4) AS p, round(CASE WHEN lo IS NULL THEN h.v WHEN hi IS NULL OR lo = hi THEN l.v
+  ELSE l.v + (h.v - l.v) * (n.p - lo) / (hi - lo) END, 4) AS p_calibrated
+FROM n LEFT JOIN f l ON l.p = lo LEFT JOIN f h ON h.p = hi"""
 
 
-@query("isotonic_calibration")
+@query("isotonic_calibration", _ISO_SQL)
 def isotonic_calibration(t: Tables) -> DataFrame:
     rows = _forecasts(t)
-    return _rounded(M.apply_isotonic(M.fit_isotonic(rows.filter("seg = 0"), "p", "y"), rows, "p", "p_calibrated"), 4)
+    return _rounded(I.apply_isotonic(I.fit_isotonic(rows.filter("seg = 0"), "p", "y"), rows, "p", "p_calibrated", ["doc_id", "y", "seg"]), 4)

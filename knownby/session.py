@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,15 @@ def pin_session(spark: SparkSession) -> None:
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key) != value:
             spark.conf.set(key, value)
+    reach_workers(spark)
+
+
+def reach_workers(spark: SparkSession) -> None:
+    """Python workers find this package wherever they are started."""
+    root = str(Path(__file__).resolve().parents[1])
+    places = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in places:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *places]))
 
 
 def with_instants(df: DataFrame) -> DataFrame:

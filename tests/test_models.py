@@ -3,9 +3,11 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from knownby.operators import evaluation, models, scoring
+from knownby.operators import calibration, evaluation, fits, models, scoring
 from knownby.operators.ratings import elo_ratings
 
 
@@ -69,8 +71,88 @@ def test_fitted_models(spark):
     boost = models.boosting_probabilities(models.fit_outcome_boosting(labelled, ["x"], "label", 3, 2, 2, 1), labelled, ["a", "b", "c"])
     for made in (logit, boost):
         assert made.filter("abs(a + b + c - 1) > 1e-9").count() == 0
-    y = df.select("x", (F.col("x") > 0.5).cast("int").alias("y"))
-    iso = models.apply_isotonic(models.fit_isotonic(y, "x", "y"), y, "x", "p").orderBy("x").collect()
-    assert all(a.p <= b.p for a, b in zip(iso, iso[1:]))
-    platt = models.apply_platt(models.fit_platt(y, "x", "y"), y, "p").orderBy("x").collect()
-    assert platt[0].p < 0.5 < platt[-1].p
+
+
+def pooled(rows):
+    """Pool adjacent violators over (score, label): value, from, to, weight."""
+    by_score: dict = {}
+    for x, y in rows:
+        by_score.setdefault(x, []).append(y)
+    stack: list = []
+    for x in sorted(by_score):
+        stack.append([sum(by_score[x]), len(by_score[x]), x, x])
+        while len(stack) > 1 and stack[-2][0] * stack[-1][1] >= stack[-1][0] * stack[-2][1]:
+            s, w, _, to = stack.pop()
+            stack[-1] = [stack[-1][0] + s, stack[-1][1] + w, stack[-1][2], to]
+    return [(s / w, a, b, float(w)) for s, w, a, b in stack]
+
+
+@pytest.mark.parametrize("n, piece, block_rows", [(1, 10, 10), (300, 1000, 1000), (2000, 60, 100), (2000, 4, 50)])
+def test_isotonic_steps_are_those_of_pooling(spark, n, piece, block_rows):
+    rng = random.Random(n + piece)
+    rows = [(x, int(rng.random() < x)) for x in (rng.randrange(n) / n for _ in range(n))]
+    df = spark.createDataFrame([*rows, (None, 1), (0.5, None)], "x double, y int")
+    steps = sorted(tuple(r) for r in calibration.fit_isotonic(df, "x", "y", piece, block_rows).collect())
+    assert [s[1:] for s in steps] == [w[1:] for w in pooled(rows)]
+    assert all(math.isclose(s[0], w[0], abs_tol=1e-12) for s, w in zip(steps, pooled(rows)))
+
+
+def test_isotonic_is_applied_between_and_beyond_its_steps(spark):
+    steps = spark.createDataFrame([(0.1, 1.0, 2.0), (0.5, 4.0, 4.0), (0.9, 8.0, 9.0)], "value double, from_score double, to_score double")
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate([0.0, 1.0, 1.5, 3.0, 4.0, 5.0, 8.5, 99.0, None])], "i long, x double")
+    for block_rows in (100, 2):
+        got = {r.i: r.p for r in calibration.apply_isotonic(steps, rows, "x", "p", ["i"], block_rows).collect()}
+        want = [0.1, 0.1, 0.1, 0.3, 0.5, 0.6, 0.9, 0.9]
+        assert got[8] is None and all(math.isclose(got[i], w) for i, w in enumerate(want))
+    assert calibration.apply_isotonic(steps.limit(0), rows, "x", "p", ["i"]).filter("p is not null").count() == 0
+
+
+def test_isotonic_without_rows_and_of_one_label(spark):
+    df = spark.createDataFrame([], "x double, y int")
+    assert calibration.fit_isotonic(df, "x", "y").count() == 0
+    same = spark.createDataFrame([(float(i), 1) for i in range(30)], "x double, y int")
+    assert [tuple(r) for r in calibration.fit_isotonic(same, "x", "y", 4, 5).collect()] == [(1.0, 0.0, 29.0, 30.0)]
+
+
+def test_logistic_fit_reaches_the_maximum(spark):
+    rng = random.Random(6)
+    rows = [(rng.gauss(0, 1), rng.gauss(5, 20), rng.randrange(3)) for _ in range(400)]
+    rows = [(a, b, 0 if a > 1 else y) for a, b, y in rows]
+    df = spark.createDataFrame([*rows, (None, 1.0, 1), (1.0, 1.0, None)], "a double, b double, y int")
+    for ridge in (0.0, 0.3):
+        fit = fits.fit_logistic(df, ["a", "b"], "y", 3, ridge)
+        assert fit.gradient < 1e-10 and fit.rounds < 20
+        x = np.array([[1.0, a, b] for a, b, _ in rows])
+        z = x @ fit.coefficients.T
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        gap = ((p - np.eye(3)[[y for *_, y in rows]]).T @ x / len(rows))[:2] + ridge * fit.coefficients[:2] * [0, 1, 1]
+        assert np.abs(gap).max() < 1e-9
+    made = fits.outcome_probabilities(fit, df.filter("a is not null"), ["h", "d", "w"])
+    assert made.filter("abs(h + d + w - 1) > 1e-12").count() == 0
+    assert fits.fit_logistic(df.limit(0), ["a"], "y", 3).rounds == 0
+
+
+def test_platt_rises_with_the_score(spark):
+    rng = random.Random(8)
+    y = spark.createDataFrame([(x, int(rng.random() < x)) for x in (rng.random() for _ in range(300))], "x double, y int")
+    fit = fits.fit_platt(y, "x", "y")
+    got = fits.apply_platt(fit, y, "p").orderBy("x").collect()
+    assert got[0].p < 0.5 < got[-1].p and abs(sum(r.p for r in got) - sum(r.y for r in got)) < 1e-6
+
+
+def test_scaled_goal_rates_solve_the_score_equations(spark):
+    rng = random.Random(4)
+    teams = [f"t{i}" for i in range(6)]
+    rows = [(i, c, *rng.sample(teams, 2), rng.randrange(4), rng.randrange(3), rng.random()) for i in range(240) for c in "AB"]
+    df = spark.createDataFrame(rows, "match_id long, c string, home_team string, away_team string, home_goals int, away_goals int, w double")
+    for group, weight in ((["c"], None), (["c"], "w"), ([], None)):
+        fit = fits.fit_goal_rates_by_scaling(df, group, 12, weight)
+        for table, what in ((fit.attack, "for"), (fit.defence, "against")):
+            for r in table.collect():
+                assert math.isclose(r[f"goals_{what}"], r[f"expected_{what}"], rel_tol=2e-3)
+        rates = fits.predict_goal_rates_by_scaling(fit, df).collect()
+        assert len(rates) == len(rows) and all(r.home_rate > 0 and r.away_rate > 0 for r in rates)
+    silent = spark.createDataFrame([(1, "x", "y", 0, 2), (2, "y", "x", 1, 0)], "match_id long, home_team string, away_team string, home_goals int, away_goals int")
+    rates = {r.match_id: r for r in fits.predict_goal_rates_by_scaling(fits.fit_goal_rates_by_scaling(silent, [], 3), silent).collect()}
+    assert rates[1].home_rate == 0.0 and rates[2].away_rate == 0.0
