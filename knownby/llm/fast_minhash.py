@@ -106,7 +106,7 @@ def _sketch_batches(length: int):
 
 
 def _similar(length: int, percent: int):
-    """Of rows (a, b, text_a, text_b) those whose sets are similar enough."""
+    """Of rows (of_a, of_b, text_a, text_b) those whose sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -123,17 +123,17 @@ def _similar(length: int, percent: int):
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * both >= percent * (len(s) + len(t) - both))
             mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b["a"].filter(mask), b["b"].filter(mask)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([b["of_a"].filter(mask), b["of_b"].filter(mask)], ["a", "b"])
 
     return run
 
 
 def verified(pairs: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose full sets are similar enough. ``texts``: distinct doc_id, text."""
+    """Links between components (a, b). ``pairs``: doc_ids a, b and their components of_a, of_b; ``texts``: distinct doc_id, text."""
     a, b = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(
+    return pairs.join(a, "a").join(b, "b").select("of_a", "of_b", "text_a", "text_b").mapInArrow(
         _similar(length, percent), "a bigint, b bigint"
-    ).distinct()
+    )
 
 
 def _with_component(rows: DataFrame, found: DataFrame, node: str = "rep", name: str = "component") -> DataFrame:
@@ -154,7 +154,7 @@ def _mixed(rows: DataFrame) -> DataFrame:
 def _stars(rows: DataFrame, mixed: DataFrame) -> DataFrame:
     """Every member outside the least component with the center. ``rows``: key, rep, component."""
     return rows.join(mixed, "key").where("component != least").select(
-        F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")
+        F.col("rep").alias("a"), F.col("center").alias("b"), F.col("component").alias("of_a"), F.col("least").alias("of_b")
     ).distinct()
 
 
@@ -175,33 +175,33 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
         & (100 * small >= percent * big) & (F.array_position(equal("keys"), True) == F.col("band_a") + 1)
         & (agree >= cut * SKETCH)
     )
-    return one.join(two, pair).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    return one.join(two, pair).select(
+        F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), F.col("component_a").alias("of_a"), F.col("component_b").alias("of_b")
+    )
 
 
 class _Links:
-    """Pairs tested so far, the links among them, and the components that these make."""
+    """The components that the links found so far make."""
 
     def __init__(self, texts: DataFrame, length: int, percent: int) -> None:
         self.texts, self.length, self.percent = texts, length, percent
-        self.tested: DataFrame | None = None
         self.found: DataFrame | None = None
 
     def test(self, pairs: DataFrame) -> None:
-        """``pairs``: distinct (a, b) with a < b."""
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
+        """``pairs``: a, b and their present components of_a, of_b, which a link joins."""
         links = stored(verified(pairs, self.texts, self.length, self.percent))
-        self.tested = pairs if self.tested is None else self.tested.union(pairs)
+        joined = components(links)
         if self.found is None:
-            self.found = stored(components(links))
-        elif not links.isEmpty():
-            # New links join whole components; what they join is a small graph of its own.
-            ends = _with_component(_with_component(links, self.found, "a", "of_a"), self.found, "b", "of_b")
-            joined = stored(components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))))
+            self.found = stored(joined)
+        else:
+            # What new links join are whole components; this graph is small, and both sides of it are read once.
+            joined = stored(joined)
             known = _with_component(self.found.select("node", F.col("component").alias("old")), joined, "old")
             fresh = joined.join(self.found.select("node"), "node", "left_anti")
-            self.found = stored(known.select("node", "component").union(fresh))
+            before, self.found = self.found, stored(known.select("node", "component").union(fresh))
+            discard(before)
+            discard(joined)
+        discard(links)
 
 
 def linked(reps: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
@@ -252,12 +252,14 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
 def keep_one(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """One row of ``docs`` per group of near-duplicates, that of the smallest doc_id.
 
-    Rows without doc_id stay; of the rows that share a doc_id one stays.
+    Rows without doc_id stay; of the rows that share a doc_id one stays, the one of the smallest hash.
     """
     found = stored(near_duplicates(docs, length, percent).where("doc_id is not null").select("doc_id", "kept"))
     repeated = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("kept").alias("kept")).where(
         "rows > 1 or not kept"
     ).select("doc_id", "kept")
     once = docs.join(repeated, "doc_id", "left_anti")
-    first = docs.join(repeated.where("kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = docs.join(repeated.where("kept"), "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+    ).select("row.*")
     return once.unionByName(first)

@@ -13,7 +13,7 @@ averaged (parameter mixing). The state has a fixed size, so what goes through th
 not grow with the data.
 
 Defined cases: a null text counts as empty; an empty text has only its place for the share 0; a document
-labelled more than once counts as bad if any label says so; labels without doc_id or quality
+labelled more than once counts as bad if any label says so; of rows that share a doc_id one is learned from, that of the smallest text hash; labels without doc_id or quality
 are passed over; without any labelled row every score is 0.5. Repeated rows score alike.
 """
 
@@ -106,7 +106,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, allowed: F.Column) -> Data
     buckets = F.arrow_udf(feature_buckets, "array<bigint>")
     return (
         docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
         .select("doc_id", "quality", buckets("text").alias("buckets"))
     )
 
