@@ -64,6 +64,17 @@ def localize_strict(wall: Column, zone: Column, known_zone: Column) -> tuple[Col
     return F.when(status == "OK", F.when(before_ok, before).otherwise(after)), status
 
 
+def zone_violation(status: Column) -> Column:
+    """INVALID_TIMEZONE for a wall time that ``localize_strict`` refuses: unknown zone, repeated or skipped hour."""
+    return F.when(status.isin("UNKNOWN_ZONE", "AMBIGUOUS", "NONEXISTENT"), "INVALID_TIMEZONE")
+
+
+def local_reading(instant: Column, zone: Column) -> tuple[Column, Column]:
+    """(local date, local time HH:mm) of an instant in the zone of its own row."""
+    wall = F.from_utc_timestamp(instant, zone)
+    return F.to_date(wall), F.date_format(wall, "HH:mm")
+
+
 def localize_lenient(wall: Column, zone: Column) -> Column:
     """First reading of a repeated hour; a skipped hour keeps the offset before the gap."""
     wall_us = F.unix_micros(wall)

@@ -280,17 +280,16 @@ def successor_violations(
 
     Compared by version order through block-wise carried values, see ``scans``.
     """
-    named = assessments.select(
-        *[F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(c) for c in scope],
-        "assessment_version", "known_at",
-    )
-    versions = named.groupBy(*scope, "assessment_version").agg(
+    # A struct of nullable fields is a key of its own for every null: no text can be mistaken for one.
+    named = assessments.select(F.struct(*scope).alias("_scope"), "assessment_version", "known_at")
+    versions = named.groupBy("_scope", "assessment_version").agg(
         F.count(F.lit(1)).alias("n"), F.min("known_at").alias("lo"), F.max("known_at").alias("hi")
     )
-    subject = F.concat_ws("|", *scope, F.col("assessment_version").cast("string"))
+    parts = [F.coalesce(F.col("_scope")[c].cast("string"), F.lit("-")) for c in scope]
+    subject = F.concat_ws("|", *parts, F.col("assessment_version").cast("string"))
     prior = carried_before(
         versions.withColumn("_block", number_block(F.col("assessment_version"))),
-        scope, "_block", "assessment_version", {"prior_hi": ("hi", "last")},
+        ["_scope"], "_block", "assessment_version", {"prior_hi": ("hi", "last")},
     )
     return all_of(
         violations(versions.filter("n > 1"), "ASSESSMENT_VERSION_NOT_INCREASING", subject, F.col("n")),
@@ -298,3 +297,31 @@ def successor_violations(
             prior.filter(F.col("lo") < F.col("prior_hi")), "ASSESSMENT_KNOWN_AT_REGRESSION", subject
         ),
     )
+
+
+def declared_successor_violations(
+    assessments: DataFrame, identity: str, previous: str,
+    scope: Sequence[str] = ("sport", "market_family", "competition"),
+) -> DataFrame:
+    """Successors that name their predecessor: same scope, a higher version, known no earlier.
+
+    ``previous`` holds the ``identity`` of the predecessor. Of several broken rules the first counts, in the order
+    scope, version, instant. A predecessor that is nowhere is REFERENCE_UNKNOWN.
+    """
+    fields = F.struct(*scope)
+    later = assessments.filter(F.col(previous).isNotNull()).select(
+        identity, previous, fields.alias("_scope"), F.col("assessment_version").alias("_v"), F.col("known_at").alias("_k")
+    )
+    earlier = assessments.select(
+        F.col(identity).alias(previous), fields.alias("_old_scope"), F.col("assessment_version").alias("_old_v"), F.col("known_at").alias("_old_k")
+    )
+    code = (
+        F.when(F.col("_old_scope").isNull(), "REFERENCE_UNKNOWN")
+        .when(~F.col("_scope").eqNullSafe(F.col("_old_scope")), "ASSESSMENT_SCOPE_MISMATCH")
+        .when(F.col("_v") <= F.col("_old_v"), "ASSESSMENT_VERSION_NOT_INCREASING")
+        .when(F.col("_k") < F.col("_old_k"), "ASSESSMENT_KNOWN_AT_REGRESSION")
+    )
+    found = later.join(earlier, previous, "left").select(code.alias("code"), F.col(identity), F.col(previous))
+    return found.filter("code is not null").select(
+        "code", F.col(identity).cast("string").alias("subject"), F.col(previous).cast("string").alias("detail")
+    )

@@ -22,6 +22,22 @@ def combine_states(decisions: DataFrame, group: Sequence[str], state: str = "sta
     return top.select(*group, F.when(F.col("_unknown") == 0, name).alias(state))
 
 
+def combine_declared(
+    declared: DataFrame, decisions: DataFrame, group: Sequence[str], state: str = "state"
+) -> DataFrame:
+    """One row per declared group: its combined state, or the code NO_STATES if nothing was decided for it.
+
+    Groups meet null-safely: a null in a group column is a value of its own. A group without any row
+    shows up here, where ``combine_states`` cannot know of it.
+    """
+    keys = F.struct(*group)
+    known = combine_states(decisions.filter(F.col(state).isNotNull()), group, state)
+    known = known.select(keys.alias("_g"), F.col(state), F.lit(True).alias("_decided"))
+    wanted = declared.select(*group).distinct().withColumn("_g", keys)
+    joined = wanted.join(known, wanted["_g"].eqNullSafe(known["_g"]), "left")
+    return joined.select(*group, state, F.when(F.col("_decided").isNull(), "NO_STATES").alias("code"))
+
+
 def market_catalog(spark: SparkSession) -> DataFrame:
     """The frozen catalog: five rows."""
     return spark.createDataFrame(list(MARKET_CATALOG), "sport string, market_family string, phase string, mr_base string")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knownby.operators.scans import carried_before, carried_through, depth_blocks
+
 
 def profile(rows: DataFrame, group: Sequence[str], conditions: dict[str, Column], nullable: Sequence[str]) -> DataFrame:
     """One pass: row count, rows meeting each named condition, null rate per column."""
@@ -35,6 +37,25 @@ def revision_rate(observations: DataFrame, group: Sequence[str], key: str, paylo
     )
 
 
+def value_runs(rows: DataFrame, key: Sequence[str], at: str, tie: Sequence[str], value: str, block_rows: int = 65_536) -> DataFrame:
+    """Per key: rows, runs of equal values in the order (``at``, ``tie``), the longest run, and changes of value.
+
+    A null value is one of its own. The value before a row and the number of its run come from blocked scans,
+    and runs are counted before keys, so no task holds a key.
+    """
+    order = [at, *tie]
+    seen = F.struct(F.col(value).alias("v"))
+    blocked = depth_blocks(rows.select(*key, *order, seen.alias("_now")), key, at, block_rows, "_block")
+    before = carried_before(blocked, key, "_block", order, {"_before": ("_now", "last")})
+    begins = F.when(F.col("_before").isNull() | ~F.col("_before.v").eqNullSafe(F.col("_now.v")), 1).otherwise(0)
+    numbered = carried_through(before.withColumn("_begins", begins), key, "_block", order, {"_run": ("_begins", "sum")})
+    runs = numbered.groupBy(*key, "_run").agg(F.count(F.lit(1)).alias("_n"))
+    return runs.groupBy(*key).agg(
+        F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("runs"), F.max("_n").alias("longest_run"),
+        (F.count(F.lit(1)) - 1).alias("changes"),
+    )
+
+
 CROSS_CHECK = ("matchweek", "local_date", "local_time", "home_key", "away_key")
 
 

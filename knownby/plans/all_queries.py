@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kernel", "records", "reconciliation", "consistency", "extraction", "market", "research")
+MODULES = ("kernel", "records", "reconciliation", "consistency", "extraction", "market", "research", "boundaries")
 
 
 def load() -> None:

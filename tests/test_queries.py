@@ -32,7 +32,8 @@ def test_query(spark, db, name):
         assert sorted(names) == sorted(df.columns)
         assert got == rows_of(names, found.fetchall())
     else:
-        assert got
+        # Without SQL: that it runs and keeps its columns. What it finds is tested with its operator.
+        assert df.columns and all(len(r) == len(df.columns) for r in got)
 
 
 def test_entry(spark):

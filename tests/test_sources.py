@@ -151,3 +151,17 @@ def test_report_sinks(spark, tmp_path):
     sinks.write_report({"a": spark.range(3), "b": spark.range(2)}, str(tmp_path / "r"))
     assert spark.read.schema("id long").json(str(tmp_path / "r" / "a")).count() == 3
     assert "logical_key" in schemas.OBSERVATION
+
+
+def test_ordered_files_keep_their_order(spark, tmp_path):
+    from knownby.sources.sinks import read_ordered, write_ordered
+
+    rows = [(i * 37 % 101 if i % 9 else None, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "a long, b long").repartition(7)
+    for fmt in ("json", "parquet"):
+        path = str(tmp_path / fmt)
+        write_ordered(df, ["a", "b"], path, fmt, rows_per_file=60)
+        found = [(r.a, r.b) for r in read_ordered(spark, path, "a long, b long", fmt).orderBy("ordinal").collect()]
+        assert found == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    write_ordered(df.limit(0), ["a", "b"], str(tmp_path / "none"))
+    assert read_ordered(spark, str(tmp_path / "none"), "a long, b long").count() == 0
