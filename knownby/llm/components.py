@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knownby.llm.tables import discard, stored
@@ -28,22 +28,18 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b): the smallest node it can reach.
 
     Alternating large and small stars; a logarithmic number of rounds, each written to
-    shared storage and counted while it is written. Loops and repeated edges do no harm; no edges give no rows.
+    shared storage. Loops and repeated edges do no harm; no edges give no rows.
     """
-    def counted(df: DataFrame) -> tuple[DataFrame, tuple]:
-        seen = Observation()
-        sums = F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("digest")
-        made = stored(df.observe(seen, *sums))
-        return made, (seen.get["n"], seen.get["digest"])
-
-    now, state = counted(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
-    while state[0]:
-        after, found = counted(_small_star(_large_star(now)))
+    now = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
+    state = None
+    while True:
+        found = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if tuple(found) == state or not found[0]:
+            break
+        state = tuple(found)
+        after = stored(_small_star(_large_star(now)))
         discard(now)
         now = after
-        if found == state:
-            break
-        state = found
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
         now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     )
