@@ -154,7 +154,8 @@ def _mixed(rows: DataFrame) -> DataFrame:
 def _stars(rows: DataFrame, mixed: DataFrame) -> DataFrame:
     """Every member outside the least component with the center. ``rows``: key, rep, component."""
     return rows.join(mixed, "key").where("component != least").select(
-        F.col("rep").alias("a"), F.col("center").alias("b"), F.col("component").alias("of_a"), F.col("least").alias("of_b")
+        F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b"),
+        F.least("component", "least").alias("of_a"), F.greatest("component", "least").alias("of_b"),
     ).distinct()
 
 
@@ -181,14 +182,20 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
 
 
 class _Links:
-    """The components that the links found so far make."""
+    """Pairs tested so far, and the components that the links among them make."""
 
     def __init__(self, texts: DataFrame, length: int, percent: int) -> None:
         self.texts, self.length, self.percent = texts, length, percent
+        self.tested: DataFrame | None = None
         self.found: DataFrame | None = None
 
     def test(self, pairs: DataFrame) -> None:
-        """``pairs``: a, b and their present components of_a, of_b, which a link joins."""
+        """``pairs``: distinct a < b and their present components of_a, of_b, which a link joins."""
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs)
+        known_pairs = pairs.select("a", "b")
+        self.tested = known_pairs if self.tested is None else self.tested.union(known_pairs)
         links = stored(verified(pairs, self.texts, self.length, self.percent))
         joined = components(links)
         if self.found is None:
