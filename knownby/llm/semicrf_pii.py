@@ -22,6 +22,7 @@ import hashlib
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,7 +48,8 @@ _TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]")
 _DIGIT = re.compile(r"[0-9]")
 
 _NUMBERS = re.compile(r"[+(]{0,2}[0-9](?:[0-9().\-/]|\x20(?=[(+0-9]))*")
-_AT = re.compile(r"[^\s\"'<>()\[\],;]+(?:@|\x20?[(\[]at[)\]]\x20?)[^\s\"'<>()\[\],;]+(?:\x20?[(\[]dot[)\]]\x20?[^\s\"'<>()\[\],;]+)*")
+# Only from the head of a run: what fails there fails further on.
+_AT = re.compile(r"(?<![^\s\"'<>()\[\],;])[^\s\"'<>()\[\],;]+(?:@|\x20?[(\[]at[)\]]\x20?)[^\s\"'<>()\[\],;]+(?:\x20?[(\[]dot[)\]]\x20?[^\s\"'<>()\[\],;]+)*")
 _GROUP = re.compile(r"[0-9]+")
 _WORD_BEFORE = re.compile(r"([^\W\d_]+)\W{0,3}\Z")
 
@@ -156,6 +158,31 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+class Taken:
+    """Disjoint stretches of a text in order, so that one search tells whether a span meets any of them."""
+
+    def __init__(self, spans: list[Span]) -> None:
+        """``spans``: by start; they may overlap."""
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end, _ in spans:
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, end) - 1
+        return i >= 0 and self.ends[i] > start
+
+    def add(self, start: int, end: int) -> None:
+        """A span that meets none so far."""
+        i = bisect_left(self.starts, start)
+        self.starts.insert(i, start)
+        self.ends.insert(i, end)
+
+
 Weights = dict[str, float]
 
 
@@ -189,6 +216,21 @@ def best_segments(place: Place, weights: Weights) -> list[tuple[int, int, str, f
     return found[::-1]
 
 
+def sums(n: int, edges: list[tuple[int, int, int, str, float]]) -> tuple[list[float], list[float]]:
+    """Log sums over all segmentations up to, and from, each of ``n`` cuts; ``edges``: (from, to, candidate, type, score)."""
+    arriving: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+    leaving: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+    for a, b, _, _, s in edges:
+        arriving[b].append((a, s))
+        leaving[a].append((b, s))
+    forward, backward = [0.0] * n, [0.0] * n
+    for i in range(1, n):
+        forward[i] = _log_sum([forward[i - 1], *(forward[a] + s for a, s in arriving[i])])
+    for i in range(n - 2, -1, -1):
+        backward[i] = _log_sum([backward[i + 1], *(backward[b] + s for b, s in leaving[i])])
+    return forward, backward
+
+
 def fit(examples: list[tuple[Place, dict[tuple[int, int], str]]]) -> Weights:
     """Conditional likelihood by adaptive gradient steps; ``examples``: places and their true segments."""
     weights: Weights = {}
@@ -202,11 +244,7 @@ def fit(examples: list[tuple[Place, dict[tuple[int, int], str]]]) -> Weights:
                 for c, ((a, b), scores) in enumerate(zip(place.candidates, _scores(place, weights)))
                 for k, s in zip(KINDS, scores)
             ]
-            forward, backward = [0.0] * n, [0.0] * n
-            for i in range(1, n):
-                forward[i] = _log_sum([forward[i - 1], *(forward[a] + s for a, b, _, _, s in edges if b == i)])
-            for i in range(n - 2, -1, -1):
-                backward[i] = _log_sum([backward[i + 1], *(backward[b] + s for a, b, _, _, s in edges if a == i)])
+            forward, backward = sums(n, edges)
             for a, b, c, kind, s in edges:
                 p = math.exp(forward[a] + s + backward[b] - forward[-1])
                 miss = float(truth.get(place.candidates[c]) == kind) - p
@@ -253,8 +291,9 @@ def training_examples(text: str) -> list[tuple[Place, dict[tuple[int, int], str]
             for stretch in stretches(shown):
                 if stretch[0] < span[1] and span[0] < stretch[1]:
                     found.append((place_of(shown, *stretch), {span: label} if label else {}))
+    taken = Taken(base)
     for stretch in stretches(text):
-        if not any(a < stretch[1] and stretch[0] < b for a, b, _ in base):
+        if not taken.meets(*stretch):
             found.append((place_of(text, *stretch), {}))
     return found
 
@@ -290,15 +329,16 @@ def train(docs: DataFrame) -> Weights:
 
 def all_spans(text: str, base: list[Span], weights: Weights) -> list[Span]:
     """Base spans, and those of the model that touch none of them."""
-    found = list(base)
+    found, own, taken = list(base), Taken(base), Taken(base)
     for stretch in stretches(text):
         place = place_of(text, *stretch)
-        free = [i for i, (a, b) in enumerate(place.candidates) if not any(s < b and a < e for s, e, _ in base)]
+        free = [i for i, span in enumerate(place.candidates) if not own.meets(*span)]
         if free:
             place = Place(tuple(place.candidates[i] for i in free), tuple(place.features[i] for i in free))
             for a, b, kind, score in best_segments(place, weights):
-                if score >= LEAST_LOG_ODDS and not any(s < b and a < e for s, e, _ in found):
+                if score >= LEAST_LOG_ODDS and not taken.meets(a, b):
                     found.append((a, b, kind))
+                    taken.add(a, b)
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import random
 import re
+import time
 
 import pytest
 
@@ -138,6 +141,72 @@ def test_personal_data_in_odd_and_empty_tables(spark):
     assert semicrf_pii.find_personal_data(frame(spark, [])).count() == 0
 
 
+def random_place(rng):
+    spans = sorted({tuple(sorted(rng.sample(range(9), 2))) for _ in range(rng.randint(1, 6))})
+    return semicrf_pii.Place(tuple(spans), tuple((f"f{i}",) for i in range(len(spans))))
+
+
+def segmentations(place):
+    """All choices of candidates that do not meet, each with a type: lists of (candidate, type)."""
+    for n in range(len(place.candidates) + 1):
+        for chosen in itertools.combinations(range(len(place.candidates)), n):
+            spans = sorted(place.candidates[c] for c in chosen)
+            if all(x[1] <= y[0] for x, y in zip(spans, spans[1:])):
+                for kinds in itertools.product(semicrf_pii.KINDS, repeat=n):
+                    yield list(zip(chosen, kinds))
+
+
+def test_lattice_against_all_segmentations():
+    rng = random.Random(6)
+    for _ in range(60):
+        place = random_place(rng)
+        weights = {f"{k}|f{i}": rng.uniform(-2, 2) for k in semicrf_pii.KINDS for i in range(len(place.candidates))}
+        score = lambda one: sum(weights[f"{k}|f{c}"] for c, k in one)
+        every = list(segmentations(place))
+        best = max(every, key=score)
+        found = semicrf_pii.best_segments(place, weights)
+        assert sorted((*place.candidates[c], k) for c, k in best) == [s[:3] for s in found]
+        cuts, index = semicrf_pii._lattice(place)
+        edges = [
+            (index[a], index[b], c, k, weights[f"{k}|f{c}"]) for c, (a, b) in enumerate(place.candidates) for k in semicrf_pii.KINDS
+        ]
+        forward, backward = semicrf_pii.sums(len(cuts), edges)
+        total = math.log(sum(math.exp(score(one)) for one in every))
+        assert forward[-1] == pytest.approx(total) and backward[0] == pytest.approx(total)
+        for a, b, c, k, s in edges:
+            share = sum(math.exp(score(one)) for one in every if (c, k) in one) / math.exp(total)
+            assert math.exp(forward[a] + s + backward[b] - forward[-1]) == pytest.approx(share)
+
+
+def test_spans_meet_like_all_pairs():
+    rng = random.Random(7)
+    for _ in range(300):
+        spans = sorted({(a, a + rng.randint(1, 6), "ip") for a in (rng.randrange(60) for _ in range(rng.randrange(8)))})
+        taken = semicrf_pii.Taken(spans)
+        for _ in range(20):
+            a = rng.randrange(60)
+            b = a + rng.randint(1, 5)
+            meets = any(s < b and a < e for s, e, _ in spans)
+            assert taken.meets(a, b) == meets
+            if not meets:
+                taken.add(a, b)
+                spans.append((a, b, "ip"))
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    weights = {"phone|bias": 3.0}
+    phones = " x ".join(f"+1 (417) 555-{i % 9000 + 1000} y {4000000 + i}" for i in range(50_000))
+    begin = time.monotonic()
+    base = semicrf_pii.base_spans(phones)
+    found = semicrf_pii.all_spans(phones, base, weights)
+    assert len(base) == 50_000 and len(found) == 100_000
+    # A run of letters without an at sign, one of at signs, and one stretch of very many groups of digits.
+    for text in ("a" * 400_000 + " b@c", "@" * 200_000, "1234567 " * 20_000):
+        semicrf_pii.all_spans(text, semicrf_pii.base_spans(text), weights)
+    semicrf_pii.fit([(semicrf_pii.place_of("1234567 " * 3_000, 0, 24_000), {})])
+    assert time.monotonic() - begin < 90
+
+
 def test_secrets(spark):
     rng = random.Random(8)
     key = lambda n, of: "".join(rng.choice(of) for _ in range(n))
@@ -188,3 +257,27 @@ def test_secrets_without_digits_and_long_candidates(spark):
     blob = "a1B2" * 5_000 + "/index/of/files"
     one = secret_forest.with_features(secret_forest.candidates(frame(spark, [(1, f"see {blob} there", *rows[0][2:])]))).collect()
     assert [(r["secret"], r["length"]) for r in one] == [(blob, len(blob))] and one[0]["path"] > 0
+
+
+def test_candidates_keep_their_neighbours(spark):
+    """The two words before each candidate, also at the head of a text, against a plain walk."""
+    key = "q7Rk29XvT4mB8nLc0WzE"
+    texts = [f"{key} {key}", f"password = {key}", f"a token: {key}", f"= {key}", f"x => {key}", f"one two three {key}"]
+    want = set()
+    for i, text in enumerate(texts):
+        words = text.split()
+        for at, word in enumerate(words):
+            if word == key:
+                one, two = (words[at - k] if at >= k else "" for k in (1, 2))
+                alone = one in ("=", ":", ":=", "=>")
+                want.add((i, at, key, two if alone else one, alone or one.endswith((":", "=", "=>"))))
+    rows = [(i, t, "en", "s", 0, "k", 0, 0, 0) for i, t in enumerate(texts)]
+    found = secret_forest.candidates(frame(spark, rows)).select("doc_id", "start_word", "secret", "before", "sign").collect()
+    assert set(map(tuple, found)) == want and len(found) == len(want)
+
+
+def test_many_candidates_in_one_text_take_linear_time(spark):
+    words = [hashlib.sha256(str(i).encode()).hexdigest()[:20] for i in range(60_000)]
+    begin = time.monotonic()
+    assert secret_forest.candidates(frame(spark, [(1, " ".join(words), "en", "s", 0, "k", 0, 0, 0)])).count() == len(words)
+    assert time.monotonic() - begin < 60
