@@ -66,7 +66,14 @@ def candidates(docs: DataFrame) -> DataFrame:
     # A cheap look at the whole text first; most documents hold no candidate.
     likely = docs.where(F.col("text").rlike(_LONG) | F.col("text").rlike(NAMES))
     words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    listed = likely.select("doc_id", words.alias("words")).select("doc_id", "words", F.posexplode("words").alias("start_word", "word"))
+    # Every word beside the two before it; only what may hold a candidate leaves the array, so no word carries the text.
+    before = lambda k: F.concat(F.array_repeat(F.lit(""), k), F.col("words"))
+    beside = F.transform(
+        F.arrays_zip(F.col("words").alias("word"), before(1).alias("one"), before(2).alias("two")),
+        lambda x, i: F.struct(i.alias("start_word"), x["word"].alias("word"), x["one"].alias("one"), x["two"].alias("two")),
+    )
+    may = lambda x: (F.length(x["word"]) >= 8) & (x["word"].rlike(_LONG) | x["word"].rlike(NAMES))
+    found = likely.select("doc_id", words.alias("words")).select("doc_id", F.inline(F.filter(beside, may)))
     every = lambda pattern, group: F.regexp_extract_all("piece", F.lit(pattern), F.lit(group))
     assigned = F.arrays_zip(every(_ASSIGNED, 0).alias("word"), every(_ASSIGNED, 1).alias("secret"))
     long_ = F.arrays_zip(every(_SHOWN, 0).alias("word"), every(_SHOWN, 1).alias("name"), every(_SHOWN, 2).alias("secret"))
@@ -76,8 +83,6 @@ def candidates(docs: DataFrame) -> DataFrame:
     both = F.concat(
         F.transform("values", lambda x: F.struct(x["word"].alias("word"), none.alias("name"), x["secret"].alias("secret"))), own
     )
-    back = lambda k: F.coalesce(F.try_element_at("words", F.nullif(F.greatest(F.col("start_word") + 1 - k, F.lit(0)), F.lit(0))), F.lit(""))
-    found = listed.where((F.length("word") >= 8) & (F.col("word").rlike(_LONG) | F.col("word").rlike(NAMES)))
     # The values of a query string are cut apart, as a value may hold other marks.
     pieces = found.select("*", F.col("word").alias("whole"), F.explode(F.split("word", r"&(?=[\w.-]+=)")).alias("piece")).drop("word")
     each = pieces.withColumn("values", assigned).withColumn("c", F.explode(F.array_distinct(both))).where(
@@ -89,8 +94,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     return each.select(
         "doc_id", "start_word", "c.secret", "c.word",
         # name = "value" has the name two words before the value, name: value one.
-        F.when(named, F.col("c.name")).when(~first, "").when(back(1).rlike(r"^(?:=|:|:=|=>)$"), back(2)).otherwise(back(1)).alias("before"),
-        (named | (first & back(1).rlike(r"(?:=|:|=>)$"))).alias("sign"),
+        F.when(named, F.col("c.name")).when(~first, "").when(F.col("one").rlike(r"^(?:=|:|:=|=>)$"), F.col("two")).otherwise(F.col("one")).alias("before"),
+        (named | (first & F.col("one").rlike(r"(?:=|:|=>)$"))).alias("sign"),
     )
 
 
