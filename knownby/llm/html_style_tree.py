@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -98,8 +98,10 @@ class Node:
     children: list[str]
     #: Paths of this node and its ancestors that the tree may remove.
     removable: tuple[str, ...]
-    #: This node and its ancestors that are named like no part of an article.
-    named: tuple[Node, ...] = ()
+    #: The innermost node, this one or an ancestor, that is named like no part of an article.
+    named: Node | None = None
+    #: Of a node so named, the next one outside it.
+    named_above: Node | None = None
     #: The outermost article that this node is in.
     article: Node | None = None
 
@@ -143,7 +145,7 @@ def _open(tag: str, rest: str, parent: Node | None) -> Node:
     path = parent.path if deep else f"{parent.path}/{label}"
     plain = tag in ("html", "body") or (in_article and tag in PLAIN)
     node = Node(tag, path, parent.depth + 1, outside, in_article, [], parent.removable if plain or deep else (*parent.removable, path))
-    node.named = (*parent.named, node) if named else parent.named
+    node.named, node.named_above = (node, parent.named) if named else (parent.named, None)
     node.article = parent.article or (node if in_article and not named else None)
     return node
 
@@ -152,6 +154,12 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
     """Blocks of text in page order, and all nodes that hold blocks or nodes."""
     root = Node("", "", 0, False, False, [], ())
     stack, nodes, blocks, run = [root], [root], [], []
+    # Where in the stack each tag is open, and the open nodes that are no inline elements: nothing walks the stack.
+    places: defaultdict[str, list[int]] = defaultdict(list)
+    owners = [root]
+
+    def innermost(tags: set[str]) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=0)
 
     def flush() -> None:
         if run:
@@ -159,13 +167,16 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
             run.clear()
             if text:
                 # The innermost node that is no inline element owns the block.
-                owner = next(n for n in reversed(stack) if n.tag not in INLINE)
-                blocks.append(Block(owner, text))
+                blocks.append(Block(owners[-1], text))
 
     def pop_to(index: int) -> None:
         if any(n.tag not in INLINE for n in stack[index:]):
             flush()
-        del stack[index:]
+        while len(stack) > index:
+            gone = stack.pop()
+            places[gone.tag].pop()
+            if gone is owners[-1]:
+                owners.pop()
 
     at, lower = 0, None
     while True:
@@ -185,9 +196,8 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
             continue
         tag = tag.lower()
         if found["end"]:
-            index = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if index:
-                pop_to(index)
+            if places[tag]:
+                pop_to(places[tag][-1])
             continue
         if tag in RAW:
             lower = html.lower() if lower is None else lower
@@ -205,24 +215,22 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
             continue
         if tag in SIBLINGS:
             same, limit = SIBLINGS[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in limit:
+            while (index := innermost(same)) > innermost(limit):
+                pop_to(index)
+                if tag != "tr":
                     break
-                if stack[i].tag in same:
-                    pop_to(i)
-                    if tag != "tr":
-                        break
         if tag not in ENDS_PARAGRAPH_NOT:
-            index = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-            if index:
-                pop_to(index)
+            if places["p"]:
+                pop_to(places["p"][-1])
             flush()
         if found["rest"].endswith("/") and tag in ("svg", "path", "math"):
             continue
         node = _open(tag, found["rest"], stack[-1])
+        places[tag].append(len(stack))
         stack.append(node)
         if tag not in INLINE:
             nodes.append(node)
+            owners.append(node)
     flush()
     return blocks, nodes
 
@@ -233,18 +241,38 @@ def _unnamed(blocks: list[Block]) -> list[Block]:
         return blocks
     articles: Counter[int] = Counter()
     held: Counter[int] = Counter()
-    above: dict[int, tuple[Node, ...]] = {}
+    known: dict[int, Node] = {}
     for b in blocks:
         if b.node.article:
             articles[id(b.node.article)] += len(b.text)
-            above[id(b.node.article)] = b.node.article.named
-        held.update({id(n): len(b.text) for n in b.node.named})
+            known[id(b.node.article)] = b.node.article
+        if b.node.named:
+            held[id(b.node.named)] += len(b.text)
+    named = _named_above({id(b.node.named): b.node.named for b in blocks if b.node.named})
     if articles:
-        stay = {id(n) for n in above[articles.most_common(1)[0][0]]}
+        article = known[articles.most_common(1)[0][0]]
+        stay = {id(n) for n in _named_above({0: article.named} if article.named else {})}
     else:
         total = sum(len(b.text) for b in blocks)
+        for node in reversed(named):
+            if node.named_above:
+                held[id(node.named_above)] += held[id(node)]
         stay = {k for k, n in held.items() if 2 * n > total}
-    return [b for b in blocks if all(id(n) in stay for n in b.node.named)]
+    kept = {0}
+    for node in named:
+        if id(node) in stay and (id(node.named_above) if node.named_above else 0) in kept:
+            kept.add(id(node))
+    return [b for b in blocks if (id(b.node.named) if b.node.named else 0) in kept]
+
+
+def _named_above(nodes: dict[int, Node]) -> list[Node]:
+    """The nodes and all so named around them, outer ones first."""
+    found: dict[int, Node] = {}
+    for node in nodes.values():
+        while node and id(node) not in found:
+            found[id(node)] = node
+            node = node.named_above
+    return sorted(found.values(), key=lambda n: n.depth)
 
 
 def article_text(html: str | None, removed: frozenset[str]) -> str:

@@ -67,6 +67,22 @@ def test_very_deep_and_very_long_pages():
     assert len(tree.article_text("<p>" + "word " * 200_000, frozenset())) == 999_999
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>" * 100_000, "<div>" * 100_000 + "</b>" * 100_000, "<div>" * 100_000 + "<li>x</li>" * 100_000,
+        "<b>" * 100_000 + "x<hr>" * 100_000, "<table>" + "<div>" * 100_000 + "<tr>" * 100_000, "<body>" * 100_000,
+        "<div class=comments>x" * 100_000, "<article><div class=menu>x" * 100_000, "<table><td>" * 100_000,
+    ],
+    ids=range(9),
+)
+def test_degenerate_pages_take_linear_time(html):
+    begin = time.monotonic()
+    tree.article_text(html, frozenset())
+    tree.page_features(html)
+    assert time.monotonic() - begin < 30
+
+
 def test_low_importance_branches_go(spark):
     """Boxes that HTML does not name: the same text on most pages of a host, article text on each."""
     pages = [
