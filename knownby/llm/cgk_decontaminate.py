@@ -6,18 +6,20 @@ word, says whether the pointer moves on. Two sequences at a small edit distance
 after each edit, so their walks agree in most steps: edit distance has become Hamming distance, and
 sampling a few steps of the walk is a locality-sensitive hash.
 
-Every window of a document is walked from its first word, and an item of L words is looked for with
-samples from the first 1.5 L steps or fewer (at most 48) of its walk, so one walk serves the windows
-of all sizes that start at a word. Items are put into size classes by the number of steps sampled; an
-item step that has left the item is never used. ``WALKS`` independent walks have ``SAMPLES`` samples of
-``SAMPLED_STEPS`` steps each.
-
-These samples see the head of an item only and find by chance, so a second source of candidates makes
-the search whole: an item that may have E edits is cut into E + 1 runs of words all along it. E edits
-spoil at most E of them, so every window within the bound holds one run word for word, and that run's
-place says where the window begins, give or take E words. Every candidate is then confirmed by the word
-edit distance over all windows that may begin there: at most L // 5 edits for items of 6 words or
-more; shorter items have to occur word for word (E = 0, one run). No window within the bound is missed.
+Every word of a document begins a walk, and so does every word of an item, so that windows meet items
+all along and not by their heads only. A sample is a few steps of a walk; its span goes from the word where the
+walk begins to the furthest word it sees. The bits of a walk depend on the words under the pointer alone, so a window that
+holds the words of a span unedited has the same key there, and often it has it with an edit between the steps sampled.
+
+How often sampling is repeated follows from the item. One that may have E edits takes sample after sample
+(``ROUNDS``, walk by walk), each from all of its words, until E + 1 of its spans share no word.
+An edit spoils one of these at most, so every window within the bound keeps a whole span and is found: the target recall is
+1, for edits massed at the head as for edits spread evenly. Only keys of several different words count, four if an
+item's share of L / (E + 1) words allows so many, since keys of one or two frequent words lead everywhere; an item
+whose words repeat takes fewer.
+
+Every candidate is then confirmed by the word edit distance over all windows that may begin there: at most L // 5 edits
+for items of 6 words or more; shorter items have to occur word for word (E = 0, one span).
 
 The benchmark is the stated query set: it is taken in blocks of ``BLOCK_ITEMS`` items, so what
 is broadcast has a fixed bound, and each block reads the documents once. Documents are never shuffled.
@@ -41,56 +43,49 @@ from pyspark.sql import functions as F
 
 from knownby.llm import words as W
 
-WALKS, SAMPLES, SAMPLED_STEPS = 3, 8, 3
-#: Steps sampled, by size class; an item belongs to the largest class of at most 1.5 L steps.
-CLASSES = (8, 16, 48)
+WALKS = 8
+#: Steps that a sample takes from a walk; all begin with the first word.
+SAMPLES = ((0, 1, 2, 3), (0, 1, 3, 5), (0, 2, 4, 6), (0, 1, 2))
+#: (walk, steps) in the order in which items take them; the last two serve items of one and two words.
+ROUNDS = (*((w, s) for w in range(WALKS) for s in SAMPLES), (0, (0, 1)), (0, (0,)))
+STEPS = 8
+MOST_WORDS = 4
 SHORTEST = 6
 EDITS_PER_WORD = 5
 BLOCK_ITEMS = 5_000
 _POSITIONS = 1 << 15
 _FILTER_BITS = 20
-_RUN_SHIFT = np.uint64(64 - _FILTER_BITS)
 #: Cells of candidate windows looked at together.
 _CELLS = 1 << 21
 _FACTOR, _SHIFT = np.uint32(0x9E3779B1), np.uint32(32 - _FILTER_BITS)
 HIT = "struct<item_id:bigint,start_word:int,n_words:int,edits:int>"
 
-_rng = np.random.default_rng(20)
-#: A sample has one random step out of each equal part of the walk, so that it sees different words.
-_CHOSEN = {
-    (w, t): [np.arange(SAMPLED_STEPS) * (t // SAMPLED_STEPS) + _rng.integers(t // SAMPLED_STEPS, size=SAMPLED_STEPS) for _ in range(SAMPLES)]
-    for w in range(WALKS) for t in CLASSES
-}
-
 
 def walks(hashes: np.ndarray, at: np.ndarray, walk: int, steps: set[int]) -> dict[int, np.ndarray]:
     """For the walk that starts at each of the words ``at``: the pointer in each of ``steps``.
 
-    The pointer stops on the last word of ``hashes``; walks have at most 64 steps.
+    The pointer stops on the last word of ``hashes``; walks have at most ``STEPS`` steps.
     """
-    # One byte per word and step: how far word * 64 + step moves, 1 or 65.
-    bits = W.mix(hashes ^ W.seed_of(walk, 31)).view(np.uint8)
-    moves = np.unpackbits(bits) * np.uint8(64) + np.uint8(1)
-    place, last, move = at * 64, len(hashes) - 1, np.empty(len(at), np.uint8)
+    # One bit per word and step: how far word * STEPS + step moves, 1 or STEPS + 1.
+    bits = (W.mix(hashes ^ W.seed_of(walk, 31)) >> np.uint64(56)).astype(np.uint8)
+    moves = np.unpackbits(bits) * np.uint8(STEPS) + np.uint8(1)
+    place, last, move = at * STEPS, len(hashes) - 1, np.empty(len(at), np.uint8)
     seen = {}
     for step in range(max(steps) + 1):
         if step in steps:
-            seen[step] = np.minimum(place >> 6, last)
+            seen[step] = np.minimum(place // STEPS, last)
         np.take(moves, place, out=move, mode="clip")
         place += move
     return seen
 
 
-def _keys(hashes: np.ndarray, seen: dict[int, np.ndarray], walk: int, steps: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(number of the sample, 32-bit key of every start); candidates are confirmed, so keys may meet."""
-    short = hashes.astype(np.uint32)
-    words = {s: short[p] for s, p in seen.items() if s < steps}
-    for k, chosen in enumerate(_CHOSEN[walk, steps]):
-        key = words[chosen[0]] * _FACTOR
-        for s in chosen[1:]:
-            key += words[s]
-            key *= _FACTOR
-        yield k, key
+def _key(words: dict[int, np.ndarray], steps: tuple[int, ...]) -> np.ndarray:
+    """32-bit key of every start from the words seen in ``steps``; candidates are confirmed, so keys may meet."""
+    key = words[steps[0]] * _FACTOR
+    for s in steps[1:]:
+        key += words[s]
+        key *= _FACTOR
+    return key
 
 
 @dataclass
@@ -99,12 +94,32 @@ class Index:
 
     ids: list[int]
     items: list[np.ndarray]
-    #: (walk, class) -> number of the sample -> (filter, sorted keys, item of each)
-    tables: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = field(default_factory=dict)
-    #: words of a run -> (filter, sorted hashes, row of ``places`` of each)
-    runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
-    #: rows (item, place of the run in it)
-    places: np.ndarray = field(default_factory=lambda: np.zeros((0, 2), np.int64))
+    #: (walk, steps) -> (filter, sorted keys, item of each, place in the item of each)
+    tables: dict[tuple[int, tuple[int, ...]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+
+
+def _different(words: dict[int, np.ndarray], steps: tuple[int, ...]) -> np.ndarray:
+    """How many different words a sample sees, for every start."""
+    n = np.ones(len(words[0]), np.int64)
+    for k in range(1, len(steps)):
+        n += np.all([words[steps[k]] != words[s] for s in steps[:k]], axis=0)
+    return n
+
+
+def _disjoint(ends: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Per item, of the words ``first`` up to ``after``, how many spans that share no word there are.
+
+    ``ends``: last word of the shortest span from every word on; of all spans that begin later the one that ends first is taken.
+    """
+    nearest = np.append(np.minimum.accumulate(ends[::-1])[::-1], len(ends))
+    at, n = first.copy(), np.zeros(len(first), np.int64)
+    while True:
+        end = nearest[at]
+        more = (at < after) & (end < after)
+        if not more.any():
+            return n
+        n += more
+        at = np.where(more, end + 1, at)
 
 
 def build_index(rows: list[tuple[int, str]]) -> Index:
@@ -114,95 +129,69 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
         w = W.words(piece, W.ALNUM)
         items += np.split(w.hashes, w.first_word[1:-1])
     index = Index([i for i, _ in rows], items)
-    runs, places = defaultdict(list), []
-    found = defaultdict(lambda: [[] for _ in range(SAMPLES)])
-    for number, words in enumerate(items):
-        if not len(words):
+    sizes = np.array([len(x) for x in items], np.int64)
+    if not sizes.sum():
+        return index
+    hashes, number = np.concatenate(items), np.repeat(np.arange(len(items)), sizes)
+    after = np.cumsum(sizes)
+    first, at = after - sizes, np.arange(len(hashes))
+    need = np.array([allowed_edits(x) + 1 for x in items])
+    wanted = np.minimum(MOST_WORDS, sizes // need)
+    # Pointers stop at the end of all items, so a word more shows one that has left the last.
+    padded = np.append(hashes, np.uint64(0))
+    seen = {walk: walks(padded, at, walk, set(range(STEPS))) for walk in range(WALKS)}
+    words = {walk: {s: padded[p] for s, p in pointers.items()} for walk, pointers in seen.items()}
+    ends = np.full(len(hashes), len(hashes))
+    open_ = sizes > 0
+    entries = defaultdict(set)
+    for fewer in range(MOST_WORDS):
+        for walk, steps in ROUNDS:
+            if not open_.any():
+                break
+            last = seen[walk][steps[-1]]
+            enough = _different(words[walk], steps) >= np.maximum(wanted - fewer, 1)[number]
+            taken = np.flatnonzero(open_[number] & (last < after[number]) & enough)
+            entries[walk, steps].update(taken.tolist())
+            ends[taken] = np.minimum(ends[taken], last[taken])
+            open_ &= _disjoint(ends, first, after) < need
+    for (walk, steps), chosen in entries.items():
+        if not chosen:
             continue
-        cuts = [k * len(words) // (allowed_edits(words) + 1) for k in range(allowed_edits(words) + 2)]
-        for low, high in zip(cuts, cuts[1:]):
-            runs[high - low].append((_run_hashes(words[low:high], high - low)[high - low][0], len(places)))
-            places.append((number, low))
-        if len(words) < SHORTEST:
-            continue
-        steps = max(t for t in CLASSES if 2 * t <= 3 * len(words))
-        # One word more, so that a pointer that has left the item shows.
-        padded = np.append(words, np.uint64(0))
-        for walk in range(WALKS):
-            seen = walks(padded, np.zeros(1, np.int64), walk, set(range(steps)))
-            for k, key in _keys(padded, seen, walk, steps):
-                if max(seen[s][0] for s in _CHOSEN[walk, steps][k]) < len(words):
-                    found[walk, steps][k].append((key[0], number))
-    for at, samples in found.items():
-        index.tables[at] = []
-        for pairs in samples:
-            keys, numbers = _sorted(pairs, np.uint32)
-            open_ = np.zeros(1 << _FILTER_BITS, bool)
-            open_[keys >> _SHIFT] = True
-            index.tables[at].append((open_, keys, numbers))
-    for n, pairs in runs.items():
-        hashes, rows_ = _sorted(pairs, np.uint64)
-        open_ = np.zeros(1 << _FILTER_BITS, bool)
-        open_[hashes >> _RUN_SHIFT] = True
-        index.runs[n] = open_, hashes, rows_
-    index.places = np.array(places, np.int64).reshape(-1, 2)
+        place = np.array(sorted(chosen))
+        keys = _key({s: words[walk][s][place].astype(np.uint32) for s in steps}, steps)
+        order = np.argsort(keys, kind="stable")
+        keys, place = keys[order], place[order]
+        filter_ = np.zeros(1 << _FILTER_BITS, bool)
+        filter_[keys >> _SHIFT] = True
+        index.tables[walk, steps] = filter_, keys, number[place], place - first[number[place]]
     return index
 
 
-def _run_hashes(hashes: np.ndarray, longest: int) -> dict[int, np.ndarray]:
-    """Words of a run -> hash of the run from every word that has so many words from it on."""
-    value, out = W.mix(hashes), {}
-    for n in range(1, longest + 1):
-        if n > 1:
-            value = W.mix(value[:-1] * np.uint64(3) + hashes[n - 1 :])
-        out[n] = value
-    return out
-
-
-def _sorted(pairs: list[tuple[int, int]], kind: type) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.array([k for k, _ in pairs], kind)
-    order = np.argsort(keys, kind="stable")
-    return keys[order], np.array([n for _, n in pairs], np.int64)[order]
-
-
-def _looked_up(keys: np.ndarray, at: np.ndarray, table: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """Rows (item, first word) of all equal keys."""
-    low, high = np.searchsorted(table, keys), np.searchsorted(table, keys, "right")
-    n = high - low
-    place = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-    return np.stack([numbers[place], np.repeat(at, n)], 1)
-
-
 def _candidates(w: W.Words, index: Index) -> np.ndarray:
     """Distinct rows (item, text, first word that the item would have without edits before it)."""
     found = [np.zeros((0, 3), np.int64)]
-    longest = min(max(index.runs, default=0), len(w.hashes))
-    for n, hashes in _run_hashes(w.hashes, longest).items():
-        if n not in index.runs:
-            continue
-        open_, table, numbers = index.runs[n]
-        maybe = np.flatnonzero(open_[hashes >> _RUN_SHIFT])
-        maybe = maybe[w.text[maybe] == w.text[maybe + n - 1]]
-        rows = _looked_up(hashes[maybe], maybe, table, numbers)
-        place = index.places[rows[:, 0]]
-        found.append(np.stack([place[:, 0], w.text[rows[:, 1]], rows[:, 1] - place[:, 1]], 1))
+    by_walk = defaultdict(list)
+    for walk, steps in index.tables:
+        by_walk[walk].append(steps)
     for low in range(0, len(w.hashes), _POSITIONS):
-        # A walk of 48 steps never leaves the words that follow within the slice.
-        near = w.hashes[low : low + _POSITIONS + max(CLASSES)]
+        # A walk never leaves the words that follow within the slice.
+        near = w.hashes[low : low + _POSITIONS + STEPS]
+        short = near.astype(np.uint32)
         at = np.arange(min(_POSITIONS, len(w.hashes) - low))
-        for walk in range(WALKS):
-            classes = [t for t in CLASSES if (walk, t) in index.tables]
-            steps = {int(s) for t in classes for c in _CHOSEN[walk, t] for s in c}
-            if not steps:
-                continue
-            seen = walks(near, at, walk, steps)
-            for t in classes:
-                for k, key in _keys(near, seen, walk, t):
-                    open_, table, numbers = index.tables[walk, t][k]
-                    maybe = np.flatnonzero(open_[key >> _SHIFT])
-                    if len(maybe):
-                        rows = _looked_up(key[maybe], maybe + low, table, numbers)
-                        found.append(np.stack([rows[:, 0], w.text[rows[:, 1]], rows[:, 1]], 1))
+        for walk, samples in by_walk.items():
+            seen = walks(near, at, walk, {s for steps in samples for s in steps})
+            words = {s: short[p] for s, p in seen.items()}
+            for steps in samples:
+                filter_, table, numbers, places = index.tables[walk, steps]
+                key = _key(words, steps)
+                maybe = np.flatnonzero(filter_[key >> _SHIFT])
+                if not len(maybe):
+                    continue
+                first, last = np.searchsorted(table, key[maybe]), np.searchsorted(table, key[maybe], "right")
+                n = last - first
+                row = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                start = np.repeat(maybe + low, n)
+                found.append(np.stack([numbers[row], w.text[start], start - places[row]], 1))
     return np.unique(np.concatenate(found), axis=0)
 
 

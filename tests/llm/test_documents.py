@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -246,9 +249,48 @@ def test_every_passage_within_the_bound_is_found(spark):
     assert found_pairs(spark, texts, benchmark) == {(d, d // 10) for d in texts if d % 10 < 6}
 
 
-def test_closest_window_is_the_first_of_the_closest():
-    import numpy as np
+def test_walks_find_what_all_windows_hold(spark):
+    """Items, windows and edits as from every window of every text, over few words that repeat much."""
+    rng = random.Random(5)
+    few = [f"w{k}" for k in range(9)]
+    benchmark = [(i, " ".join(rng.choice(few) for _ in range(n))) for i, n in enumerate((1, 2, 3, 4, 5, 6, 7, 9, 10, 11, 14, 15, 20, 26, 40) * 3)]
+    benchmark += [(90, "same " * 12), (91, "same " * 3)]
+    texts = [" ".join(rng.choice(few) for _ in range(rng.randrange(1, 120))) for _ in range(40)]
+    texts += [f"{texts[k]} {edited(t, k, max(1, len(t.split()) // 5))} {texts[k + 1]}" for k, (_, t) in enumerate(benchmark[:39])]
+    texts += ["same " * 11, "", "same same"]
+    index = cgk_decontaminate.build_index(benchmark)
+    words = [x.split() for x in texts]
+    code = {w: h for item, (_, t) in zip(index.items, benchmark) for w, h in zip(t.split(), item)}
+    for own, found in zip(words, cgk_decontaminate.hits(pa.array(texts), index)):
+        hashes = np.array([code.get(w, np.uint64(k)) for k, w in enumerate(own)], np.uint64)
+        expected = set()
+        for number, item in zip(index.ids, index.items):
+            edits, start, n = cgk_decontaminate.closest_window(item, hashes, len(hashes))
+            if edits <= cgk_decontaminate.allowed_edits(item):
+                expected.add((number, start, n, edits))
+        assert {(f["item_id"], f["start_word"], f["n_words"], f["edits"]) for f in found} == expected
+
+
+def test_every_item_has_more_separate_spans_than_edits():
+    """Counted again from the keys alone: spans that share no word, greedily."""
+    benchmark = [(n, prose(40_000 + n, n)) for n in range(1, 120)] + [(200, "a b " * 30), (201, "a " * 31)]
+    index = cgk_decontaminate.build_index(benchmark)
+    spans = [[] for _ in benchmark]
+    for (walk, steps), (_, _, numbers, places) in index.tables.items():
+        for number, place in zip(numbers.tolist(), places.tolist()):
+            item = np.append(index.items[number], np.uint64(0))
+            end = cgk_decontaminate.walks(item, np.array([place]), walk, {steps[-1]})[steps[-1]][0]
+            spans[number].append((int(end), place))
+    for item, own in zip(index.items, spans):
+        free, n = 0, 0
+        for end, begin in sorted(own):
+            if begin >= free:
+                free, n = end + 1, n + 1
+        assert n > cgk_decontaminate.allowed_edits(item)
+    assert len(index.tables) > 8
+
 
+def test_closest_window_is_the_first_of_the_closest():
     word = lambda s: np.array([ord(c) for c in s])
     assert cgk_decontaminate.closest_window(word("abcdef"), word("yyxbcdefzz"), 9) == (1, 2, 6)
     assert cgk_decontaminate.closest_window(word("abcdef"), word("abcxefabcdef"), 11) == (0, 6, 6)
@@ -266,8 +308,6 @@ def test_short_items_and_odd_tables(spark):
 
 
 def test_edit_distance_to_a_prefix():
-    import numpy as np
-
     word = lambda s: np.array([ord(c) for c in s])
     assert cgk_decontaminate.edits_to_prefix(word("abcde"), word("abcdefgh")) == (0, 5)
     assert cgk_decontaminate.edits_to_prefix(word("abcde"), word("abxcdefg")) == (1, 6)
