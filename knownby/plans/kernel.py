@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -21,8 +22,10 @@ from knownby.operators.manifest import (
     replay_difference,
     verify_replay,
 )
+from knownby.operators.replay_tree import descend, write_tree
 from knownby.operators.rules import violation_rows
 from knownby.plans.registry import Tables, query
+from knownby.storage import shared_folder
 
 UTC = timezone.utc
 CUTOFF = datetime(1998, 7, 1, tzinfo=UTC)
@@ -309,22 +312,37 @@ def pit_manifest(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "pit_replay_difference",
-    _ONE + """, gone AS (SELECT logical_key FROM ev2 WHERE raw_payload_sha256 IS NOT NULL AND m3 GROUP BY ALL)
+_GONE = _ONE + """, gone AS (SELECT logical_key FROM ev2 WHERE raw_payload_sha256 IS NOT NULL AND m3 GROUP BY ALL)
     SELECT d.cutoff_id, d.logical_key, count(*) AS missing_in_replay, CAST(0 AS BIGINT) AS new_in_replay,
       CAST(0 AS BIGINT) AS changed, 'REPLAY_MISMATCH' AS code
-    FROM dec d JOIN gone g ON d.logical_key = g.logical_key GROUP BY ALL""",
-)
-def pit_replay_difference(t: Tables) -> DataFrame:
-    """Replay without the keys that hold an expired, raw-linked observation: each must show."""
+    FROM dec d JOIN gone g ON d.logical_key = g.logical_key GROUP BY ALL"""
+
+
+def _recorded_and_replayed(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Decisions on all keys, and without the keys that hold an expired, raw-linked observation."""
     observations = lineitem_observations(t)
     recorded = select_as_of(observations, ONE_CUTOFF)
     cutoff = F.lit(CUTOFF)
     expired = (F.col("valid_to") < cutoff) | (F.col("expires_at") <= cutoff)
     gone = observations.filter(F.col("raw_payload_sha256").isNotNull() & expired).select("logical_key").distinct()
     replayed = select_as_of(observations.join(gone, "logical_key", "left_anti"), ONE_CUTOFF)
-    return replay_difference(recorded.decisions, replayed.decisions)
+    return recorded.decisions, replayed.decisions
+
+
+@query("pit_replay_difference", _GONE)
+def pit_replay_difference(t: Tables) -> DataFrame:
+    """Replay without some keys: each must show."""
+    return replay_difference(*_recorded_and_replayed(t))
+
+
+@query("pit_replay_descent", _GONE)
+def pit_replay_descent(t: Tables) -> DataFrame:
+    """The same difference from two stored trees, by the branches in which they differ."""
+    trees = [
+        write_tree(decisions, f"{shared_folder(decisions.sparkSession)}/knownby-tree-{uuid.uuid4().hex}")
+        for decisions in _recorded_and_replayed(t)
+    ]
+    return descend(*trees)
 
 
 @query(
