@@ -56,7 +56,8 @@ def fit_logistic(
     names = tuple(features)
     width, free = len(names) + 1, classes - 1
     used = training.select(*[F.col(c).cast("double").alias(c) for c in names], F.col(label).cast("int").alias("_y"))
-    used = used.where(" and ".join(f"`{c}` is not null" for c in [*names, "_y"]))
+    # Every round reads the rows again: they are written once, not derived anew each time.
+    used = written(used.where(" and ".join(f"`{c}` is not null" for c in [*names, "_y"])))
     x = [F.lit(1.0), *[F.col(c) for c in names]]
     decay = np.tile(np.append(0.0, np.full(width - 1, ridge)), free)
 
@@ -106,6 +107,7 @@ def fit_logistic(
         else:
             break
         beta, (n, loss, gradient, hessian) = after, found
+    removed(used)
     return LogisticFit(names, beta, done, float(np.abs(gradient).max()))
 
 

@@ -156,3 +156,40 @@ def test_scaled_goal_rates_solve_the_score_equations(spark):
     silent = spark.createDataFrame([(1, "x", "y", 0, 2), (2, "y", "x", 1, 0)], "match_id long, home_team string, away_team string, home_goals int, away_goals int")
     rates = {r.match_id: r for r in fits.predict_goal_rates_by_scaling(fits.fit_goal_rates_by_scaling(silent, [], 3), silent).collect()}
     assert rates[1].home_rate == 0.0 and rates[2].away_rate == 0.0
+
+
+def test_a_logistic_fit_derives_its_rows_once(spark, monkeypatch):
+    """All rounds read one written table, which is gone afterwards."""
+    from knownby.operators import fits
+
+    kept, gone = [], []
+    monkeypatch.setattr(fits, "written", lambda df, write=fits.written: kept.append(write(df)) or kept[-1])
+    monkeypatch.setattr(fits, "removed", lambda df, drop=fits.removed: gone.append(df) or drop(df))
+    rows = spark.range(200).selectExpr("cast(id % 7 as double) AS x", "cast(id % 3 = 0 as int) AS y")
+    fit = fits.fit_logistic(rows, ["x"], "y", 2)
+    assert fit.rounds > 1 and len(kept) == 1 and gone == kept
+
+
+def test_bootstrap_draws_one_number_per_unit_and_replicate(spark):
+    from knownby.operators import evaluation
+
+    rows = spark.createDataFrame([(i % 5, float(i), 1.0) for i in range(20)], "u long, a double, b double")
+    made = evaluation.paired_bootstrap(rows, "u", "a", "b", 10, 7, 0.9)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    sums = {u: (sum(i - 1.0 for i in range(20) if i % 5 == u), 4) for u in range(5)}
+    grid = spark.range(5).crossJoin(spark.range(1, 11).withColumnRenamed("id", "r"))
+    drawn = grid.select("id", "r", evaluation.poisson_weight(F.col("id"), F.col("r"), 7).alias("w")).collect()
+    means = []
+    for r in range(1, 11):
+        n = sum(x.w * sums[x.id][1] for x in drawn if x.r == r)
+        means += [sum(x.w * sums[x.id][0] for x in drawn if x.r == r) / n] if n else []
+    got = made.first()
+    assert min(means) <= got.low <= got.high <= max(means) and got.units == 5
+
+
+def test_tasks_read_bounded_parts_whatever_the_table_holds(spark):
+    from knownby.session import pin_session
+
+    pin_session(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1000
