@@ -90,8 +90,15 @@ def poisson_weight(unit: Column, replicate: Column, seed: int) -> Column:
 
     The uniform number is the first 52 bits of an md5 digest, which other engines have too.
     """
+    return poisson_quantile(uniform_number(unit, replicate, seed))
+
+
+def uniform_number(unit: Column, replicate: Column, seed: int) -> Column:
     digest = F.md5(F.concat_ws(":", unit.cast("string"), replicate.cast("string"), F.lit(str(seed))).cast("binary"))
-    u = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
+def poisson_quantile(u: Column) -> Column:
     weight = F.lit(len(POISSON_ONE))
     for k in range(len(POISSON_ONE) - 1, -1, -1):
         weight = F.when(u < POISSON_ONE[k], k).otherwise(weight)
@@ -114,7 +121,10 @@ def paired_bootstrap(
         F.sum(F.col(loss_a) - F.col(loss_b)).alias("d"), F.count(F.lit(1)).alias("n")
     )
     expanded = per_unit.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
-    w = poisson_weight(F.col(unit), F.col("replicate"), seed)
+    # Generated, so that the digest is computed once per unit and replicate and not per branch and sum.
+    drawn = F.struct(uniform_number(F.col(unit), F.col("replicate"), seed).alias("u"))
+    expanded = expanded.select(*by, "replicate", "d", "n", F.inline(F.array(drawn)))
+    w = poisson_quantile(F.col("u"))
     means = expanded.groupBy(*by, "replicate").agg(
         F.try_divide(F.sum(w * F.col("d")), F.sum(w * F.col("n"))).alias("m")
     )
