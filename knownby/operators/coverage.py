@@ -25,22 +25,30 @@ def _any(condition: Column) -> Column:
 
 def market_states(outcomes: DataFrame, event: Sequence[str] = EVENT) -> DataFrame:
     """Per market offer: which of the needed outcomes it names."""
+    return _market_states(outcomes, event)
+
+
+def _market_states(outcomes: DataFrame, event: Sequence[str], *more: Column) -> DataFrame:
     name = F.col("outcome_name")
     return outcomes.groupBy(*event, "bookmaker_no", "market_no", "market_key").agg(
         _any(name == F.col("home_team")).alias("has_home"),
         _any(name == F.col("away_team")).alias("has_away"),
         _any(name == "Draw").alias("has_draw"),
+        *more,
     )
 
 
 def event_market_summary(outcomes: DataFrame, event: Sequence[str] = EVENT) -> DataFrame:
     """Per event: bookmakers, their h2h / complete h2h / totals offers and totals points."""
+    # Points are collected on the way, list by list, so that the outcomes are read once.
     h2h = F.col("market_key") == "h2h"
     whole = h2h & F.col("has_home") & F.col("has_away") & F.col("has_draw")
-    books = market_states(outcomes, event).groupBy(*event, "bookmaker_no").agg(
+    all_points = F.array_distinct(F.flatten(F.collect_list("points")))
+    books = _market_states(outcomes, event, F.collect_set(_totals_point()).alias("points")).groupBy(*event, "bookmaker_no").agg(
         _any(h2h).alias("h2h"),
         _any(whole).alias("complete"),
         _any(F.col("market_key") == "totals").alias("totals"),
+        all_points.alias("points"),
     )
     there = F.col("bookmaker_no").isNotNull()
     counts = books.groupBy(*event).agg(
@@ -48,23 +56,27 @@ def event_market_summary(outcomes: DataFrame, event: Sequence[str] = EVENT) -> D
         F.count(F.when(F.col("h2h"), 1)).alias("h2h_bookmaker_count"),
         F.count(F.when(F.col("complete"), 1)).alias("complete_h2h_bookmaker_count"),
         F.count(F.when(F.col("totals"), 1)).alias("totals_bookmaker_count"),
+        F.sort_array(all_points).alias("totals_distinct_points"),
     )
-    points = totals_points(outcomes, event).groupBy(*event).agg(
-        F.array_sort(F.collect_list("point")).alias("totals_distinct_points")
-    )
-    return counts.join(points, list(event), "left").select(
+    return counts.select(
         *event,
         "bookmaker_count",
         "h2h_bookmaker_count",
         "complete_h2h_bookmaker_count",
         "totals_bookmaker_count",
-        F.coalesce("totals_distinct_points", F.array().cast("array<double>")).alias("totals_distinct_points"),
+        "totals_distinct_points",
         (F.col("h2h_bookmaker_count") > 0).alias("h2h_present"),
         (F.col("complete_h2h_bookmaker_count") > 0).alias("h2h_complete_present"),
         (F.col("totals_bookmaker_count") > 0).alias("totals_present"),
     )
 
 
+def _totals_point() -> Column:
+    """The point of an Over/Under outcome in a totals market, else null; one zero."""
+    counts = (F.col("market_key") == "totals") & F.col("outcome_name").isin("Over", "Under")
+    return F.when(counts, F.when(F.col("point") == 0, F.abs("point")).otherwise(F.col("point")))
+
+
 def totals_points(outcomes: DataFrame, event: Sequence[str] = EVENT) -> DataFrame:
     """Distinct points per event of Over/Under outcomes in totals markets."""
     return outcomes.filter(

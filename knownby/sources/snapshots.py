@@ -13,8 +13,17 @@ from knownby.functions.timeops import utc_z_instant
 
 
 def _kind(variant: Column) -> Column:
-    """OBJECT, ARRAY, STRING, BIGINT, ...; null when absent or unreadable."""
-    return F.regexp_extract(F.schema_of_variant(variant), r"^[A-Z]+", 0)
+    """STRING, BIGINT, DECIMAL, ... of a scalar; null when absent or unreadable. Objects and arrays are told by casts,
+    which look at one level only: their schema would be that of all that they hold."""
+    return F.split_part(F.schema_of_variant(variant), F.lit("("), F.lit(1))
+
+
+def _listed(variant: Column) -> Column:
+    return variant.try_cast("array<variant>")
+
+
+def _is_object(variant: Column) -> Column:
+    return F.try_variant_get(variant, "$", "struct<>").isNotNull()
 
 
 def _part(variant: Column, name: str) -> Column:
@@ -33,30 +42,31 @@ def number_field(variant: Column, name: str) -> Column:
 
 def items(variant: Column) -> Column:
     """Object items of a JSON array; null for anything that is not an array."""
-    return F.when(
-        _kind(variant) == "ARRAY",
-        F.filter(variant.try_cast("array<variant>"), lambda item: _kind(item) == "OBJECT"),
-    )
+    return F.filter(_listed(variant), _is_object)
+
+
+def _once(**columns: Column) -> Column:
+    """The columns, generated: filters on them are not moved below, where they would be computed again."""
+    return F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
 
 
 def envelopes(payloads: DataFrame, keep: list[str], payload: str = "payload") -> DataFrame:
     """Historical wrapper: provider time, event items and a code where it is unusable."""
-    doc = payloads.select(*keep, F.try_parse_json(F.col(payload)).alias("doc"))
+    doc = payloads.select(*keep, _once(doc=F.try_parse_json(F.col(payload))))
     stamp = text_field(F.col("doc"), "timestamp")
-    data = _part(F.col("doc"), "data")
+    read = doc.select(*keep, _once(
+        is_object=_is_object(F.col("doc")),
+        provider_snapshot_text=stamp,
+        provider_snapshot_at=utc_z_instant(stamp),
+        events=items(_part(F.col("doc"), "data")),
+    ))
     code = (
-        F.when(~F.coalesce(_kind(F.col("doc")) == "OBJECT", F.lit(False)), "NOT_AN_OBJECT")
-        .when(stamp.isNull(), "MISSING_TIMESTAMP")
-        .when(~F.coalesce(_kind(data) == "ARRAY", F.lit(False)), "MISSING_DATA")
-        .when(utc_z_instant(stamp).isNull(), "TIMESTAMP_NOT_UTC_Z")
-    )
-    return doc.select(
-        *keep,
-        stamp.alias("provider_snapshot_text"),
-        utc_z_instant(stamp).alias("provider_snapshot_at"),
-        items(data).alias("events"),
-        code.alias("code"),
+        F.when(~F.col("is_object"), "NOT_AN_OBJECT")
+        .when(F.col("provider_snapshot_text").isNull(), "MISSING_TIMESTAMP")
+        .when(F.col("events").isNull(), "MISSING_DATA")
+        .when(F.col("provider_snapshot_at").isNull(), "TIMESTAMP_NOT_UTC_Z")
     )
+    return read.select(*keep, "provider_snapshot_text", "provider_snapshot_at", "events", code.alias("code"))
 
 
 def provider_events(payloads: DataFrame, keep: list[str], payload: str = "payload") -> DataFrame:
@@ -88,7 +98,7 @@ def outcome_rows(payload_envelopes: DataFrame, keep: list[str]) -> DataFrame:
         *keep, "provider_snapshot_at", "provider_event_id", "commence_time", "home_team", "away_team", "bookmaker_no",
     ]
     event, book, market, outcome = (F.col(c) for c in ("event", "book", "market", "outcome"))
-    placed = F.array_sort(
+    placed = F.sort_array(
         F.transform(
             F.col("events"), lambda e, i: F.struct(text_field(e, "id").alias("id"), i.alias("at"))
         )
@@ -104,7 +114,9 @@ def outcome_rows(payload_envelopes: DataFrame, keep: list[str]) -> DataFrame:
     return (
         payload_envelopes.filter("code is null")
         .withColumn("placed", placed)
-        .select(*keep, "provider_snapshot_at", F.explode(last_of_id).alias("event"))
+        .select(*keep, "provider_snapshot_at", last_of_id.alias("own_events"))
+        .select(*keep, "provider_snapshot_at", F.explode_outer("own_events").alias("event"))
+        .filter("event is not null")
         # What a level says is read before the next one is exploded, so no document rides along.
         .select(
             *keep,
@@ -113,13 +125,17 @@ def outcome_rows(payload_envelopes: DataFrame, keep: list[str]) -> DataFrame:
             text_field(event, "commence_time").alias("commence_time"),
             text_field(event, "home_team").alias("home_team"),
             text_field(event, "away_team").alias("away_team"),
-            F.posexplode_outer(items(_part(event, "bookmakers"))).alias("bookmaker_no", "book"),
+            items(_part(event, "bookmakers")).alias("books"),
         )
+        .select(*above[:-1], F.posexplode_outer("books").alias("bookmaker_no", "book"))
         .select(
             *above,
             F.when(book.isNotNull(), F.coalesce(text_field(book, "key"), F.lit(""))).alias("bookmaker"),
             text_field(book, "last_update").alias("bookmaker_last_update"),
-            F.posexplode_outer(items(_part(book, "markets"))).alias("market_no", "market"),
+            items(_part(book, "markets")).alias("markets"),
+        )
+        .select(
+            *above, "bookmaker", "bookmaker_last_update", F.posexplode_outer("markets").alias("market_no", "market")
         )
         .select(
             *above,
@@ -128,7 +144,11 @@ def outcome_rows(payload_envelopes: DataFrame, keep: list[str]) -> DataFrame:
             "market_no",
             text_field(market, "key").alias("market_key"),
             text_field(market, "last_update").alias("market_last_update"),
-            F.explode_outer(items(_part(market, "outcomes"))).alias("outcome"),
+            items(_part(market, "outcomes")).alias("outcomes"),
+        )
+        .select(
+            *above, "bookmaker", "bookmaker_last_update", "market_no", "market_key", "market_last_update",
+            F.explode_outer("outcomes").alias("outcome"),
         )
         .select(
             *above,
