@@ -29,27 +29,69 @@ def _kind(variant: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(variant), r"^[A-Z]+", 0)
 
 
+_MAP = "map<string,variant>"
+
+
+class _Stages:
+    """Columns added to a table one after the other, so that each is computed once for all that is asked of it."""
+
+    def __init__(self, df: DataFrame) -> None:
+        self.df, self.added = df, 0
+
+    def names(self, columns: list[Column]) -> list[Column]:
+        names = [f"_stage_{self.added + i}" for i in range(len(columns))]
+        self.added += len(columns)
+        self.df = self.df.withColumns(dict(zip(names, columns)))
+        return [F.col(n) for n in names]
+
+
 def _object_checks(node: Column, schema: T.StructType, path: str) -> list[Column]:
     """Arrays of violations for one JSON object against one struct type."""
     there = F.coalesce(_kind(node) == "OBJECT", F.lit(False))
-    keys = F.when(there, F.map_keys(node.try_cast("map<string,variant>")))
+    keys = F.when(there, F.map_keys(node.try_cast(_MAP)))
+    out = _key_checks(keys, schema, path)
+    for field in schema.fields:
+        value = F.try_variant_get(node, f"$.{field.name}", "variant")
+        present = there & F.array_contains(keys, field.name)
+        out += _value_checks(value, present, field.dataType, field.nullable, path + field.name)
+    return out
+
+
+def _key_checks(keys: Column, schema: T.StructType, path: str) -> list[Column]:
     names = F.array(*[F.lit(f.name) for f in schema.fields])
     as_hit = lambda code: lambda key: F.struct(
         F.lit(code).alias("code"), F.concat(F.lit(path), key).alias("field")
     )
-    out = [
-        F.transform(F.array_sort(F.array_except(keys, names)), as_hit("UNKNOWN_FIELD")),
-        F.transform(F.array_sort(F.array_except(names, keys)), as_hit("MISSING_FIELD")),
+    return [
+        F.transform(F.sort_array(F.array_except(keys, names)), as_hit("UNKNOWN_FIELD")),
+        F.transform(F.sort_array(F.array_except(names, keys)), as_hit("MISSING_FIELD")),
     ]
-    for field in schema.fields:
-        value = F.try_variant_get(node, f"$.{field.name}", "variant")
-        present = there & F.array_contains(keys, field.name)
-        out += _value_checks(value, present, field.dataType, field.nullable, path + field.name)
+
+
+def _staged_checks(stages: _Stages, fields: Column, schema: T.StructType, path: str) -> list[Column]:
+    """``_object_checks`` of an object cast to ``_MAP`` (null: no object), level by level, in columns of ``stages``."""
+    keys, = stages.names([F.map_keys(fields)])
+    values = stages.names([fields[f.name] for f in schema.fields])
+    presents = stages.names([F.coalesce(F.array_contains(keys, f.name), F.lit(False)) for f in schema.fields])
+    kinds = stages.names([F.coalesce(_kind(v), F.lit("VOID")) for v in values])
+    out = _key_checks(keys, schema, path)
+    for field, value, present, kind in zip(schema.fields, values, presents, kinds):
+        below = path + field.name
+        if isinstance(field.dataType, T.StructType):
+            wrong = (F.lit(not field.nullable) | (kind != "VOID")) & (kind != "OBJECT")
+            nested, = stages.names([F.when(present, value.try_cast(_MAP))])
+            out += [F.array(_hit(present & wrong, "INVALID_TYPE", below))]
+            out += _staged_checks(stages, nested, field.dataType, below + ".")
+        else:
+            out += _value_checks(value, present, field.dataType, field.nullable, below, kind, stages)
     return out
 
 
-def _value_checks(value: Column, present: Column, dtype: T.DataType, nullable: bool, path: str) -> list[Column]:
-    kind = F.coalesce(_kind(value), F.lit("VOID"))
+def _value_checks(
+    value: Column, present: Column, dtype: T.DataType, nullable: bool, path: str,
+    kind: Column | None = None, stages: _Stages | None = None,
+) -> list[Column]:
+    kind = F.coalesce(_kind(value), F.lit("VOID")) if kind is None else kind
     absent = kind == "VOID"
     wrong_null = F.lit(not nullable) & absent
     if isinstance(dtype, T.StructType):
@@ -68,6 +110,9 @@ def _value_checks(value: Column, present: Column, dtype: T.DataType, nullable: b
     if isinstance(dtype, T.TimestampType):
         text = F.when(kind == "STRING", value.try_cast("string"))
         stamp = text_instant_violation(text)
+        if stages is not None:
+            text, = stages.names([text])
+            stamp, = stages.names([text_instant_violation(text)])
         return [
             F.array(
                 _hit(present & (wrong_null | (~absent & (kind != "STRING"))), "INVALID_TYPE", path),
@@ -93,11 +138,13 @@ def strict_records(texts: DataFrame, text: str, schema: T.StructType, keep: list
     of the record type.
     """
     doc = texts.select(*keep, F.col(text).alias("_text"), F.try_parse_json(F.col(text)).alias("_doc"))
-    root = _hit(~F.coalesce(_kind(F.col("_doc")) == "OBJECT", F.lit(False)), "INVALID_TYPE", "$")
-    parts = [F.array(root), *_object_checks(F.col("_doc"), schema, "")]
+    stages = _Stages(doc)
+    fields, = stages.names([F.col("_doc").try_cast(_MAP)])
+    root = _hit(fields.isNull(), "INVALID_TYPE", "$")
+    parts = [F.array(root), *_staged_checks(stages, fields, schema, "")]
     empty = F.array().cast("array<struct<code:string,field:string>>")
     found = F.array_compact(F.flatten(F.array(*[F.coalesce(p, empty) for p in parts])))
-    return doc.withColumn("violations", found).select(
+    return stages.df.withColumn("violations", found).select(
         *keep,
         F.when(F.size("violations") == 0, F.from_json("_text", schema)).alias("record"),
         "violations",
