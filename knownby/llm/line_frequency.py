@@ -51,24 +51,18 @@ def lines_with_words(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words in three-word windows that the text holds twice or more, the first of them included."""
     n = F.size(words)
-    windows = F.transform(
-        F.arrays_zip(
-            F.slice(words, F.lit(1), n - 2).alias("a"), F.slice(words, F.lit(2), n - 2).alias("b"),
-            F.slice(words, F.lit(3), n - 2).alias("c"), F.sequence(F.lit(0), n - 3).alias("at"),
-        ),
-        lambda w: F.struct(F.xxhash64(w["a"], F.lit(1), w["b"], F.lit(2), w["c"]).alias("hash"), w["at"].alias("at")),
+    # Places are read from the words themselves: no copies of them, no windows as texts.
+    hashes = F.transform(
+        F.slice(words, F.lit(1), n - 2),
+        lambda w, i: F.xxhash64(w, F.lit(1), F.get(words, i + 1), F.lit(2), F.get(words, i + 2)),
     )
 
     def again(ordered: Column) -> Column:
-        last = F.size(ordered) - 1
-        before = F.concat(F.array(F.lit(None).cast(_WINDOW)), F.slice(ordered, F.lit(1), last))
-        after = F.concat(F.slice(ordered, F.lit(2), last), F.array(F.lit(None).cast(_WINDOW)))
-        alike = F.filter(
-            F.arrays_zip(ordered.alias("own"), before.alias("before"), after.alias("after")),
-            lambda w: (F.coalesce(w["before"]["hash"] == w["own"]["hash"], F.lit(False)))
-            | (F.coalesce(w["after"]["hash"] == w["own"]["hash"], F.lit(False))),
-        )
-        return F.array_sort(F.transform(alike, lambda w: w["own"]["at"]))
+        def same(place: Column, own: Column) -> Column:
+            return F.coalesce(F.get(ordered, place)["hash"] == own["hash"], F.lit(False))
+
+        alike = F.filter(ordered, lambda w, i: same(i - 1, w) | same(i + 1, w))
+        return F.sort_array(F.transform(alike, lambda w: w["at"]))
 
     def covered(starts: Column) -> Column:
         # A window covers three words, less those that the next one covers as well.
@@ -78,10 +72,12 @@ def repeated_words(words: Column) -> Column:
         )
         return F.aggregate(gaps, F.lit(0), lambda total, gap: total + gap)
 
-    return F.when(n < 4, 0).otherwise(_let(_let(F.array_sort(windows), again), covered)).cast("bigint")
-
+    def counted(own: Column) -> Column:
+        placed = F.transform(own, lambda h, i: F.struct(h.alias("hash"), i.alias("at")))
+        repeated = _let(_let(F.sort_array(placed), again), covered)
+        return F.when(F.size(F.array_distinct(own)) == F.size(own), 0).otherwise(repeated)
 
-_WINDOW = "struct<hash:bigint,at:int>"
+    return F.when(n < 4, 0).otherwise(_let(hashes, counted)).cast("bigint")
 
 
 def line_hash(line: Column) -> Column:
@@ -91,7 +87,7 @@ def line_hash(line: Column) -> Column:
 
 def text_digest(text: Column) -> Column:
     """128 bits, as equal texts have to be told from others."""
-    return F.unhex(F.md5(text.cast("binary")))
+    return F.coalesce(F.unhex(F.md5(text.cast("binary"))), F.lit(b""))
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
@@ -130,9 +126,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     texts = docs.select(_host().alias("host"), text_digest(text).alias("digest"), lines.alias("lines")).groupBy(
         "host", "digest"
     ).agg(F.first("lines").alias("lines"))
-    limits = texts.groupBy("host").agg(F.greatest(F.lit(MIN_DOCUMENTS), F.floor(F.count("*") * MAX_SHARE) + 1).alias("least"))
+    # All three readers ask for whole lists of lines, which are never null: then they share one shuffle of the texts.
+    limits = texts.groupBy("host").agg(F.greatest(F.lit(MIN_DOCUMENTS), F.floor(F.count("lines") * MAX_SHARE) + 1).alias("least"))
     frequent = (
-        texts.select("host", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
+        texts.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
         .groupBy("host", "line").agg(F.count("*").alias("documents"))
         .where(F.col("documents") >= MIN_DOCUMENTS).join(limits, "host").where("documents >= least or line % 2 != 0")
         .select("host", "line")
@@ -145,7 +142,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def _host() -> Column:
     """The source as a key that is never null."""
-    return F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source"))
+    return F.coalesce(F.concat(F.lit("0"), "source"), F.lit("1"))
 
 
 def _judged(docs: DataFrame) -> DataFrame:
