@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from knownby.operators.manifest import audit
 from knownby.plans import kernel
 from knownby.sources.contract_json import strict_records
 from knownby.sources.snapshots import envelopes, outcome_rows
+from observations import CUTOFF, SCHEMA, expected, histories
 
 DECISION = (
     "cutoff_id string, logical_key string, record_digest string, source_id string, revision_id string, "
@@ -94,3 +96,22 @@ def test_strict_records_look_at_every_value_once(spark):
     read = strict_records(texts, "t", schema, ["id"])
     assert all([v["field"] for v in r["violations"]] == names[1:] for r in read.collect())
     assert len(re.findall(r"schema_?of_?variant\(", optimized(read), re.I)) <= len(names)
+
+
+def test_cutoffs_are_judged_side_by_side_on_rows_that_are_sorted_once(spark):
+    rows = spark.createDataFrame(histories(40), SCHEMA)
+    cuts = [(f"c{i}", CUTOFF + timedelta(hours=i)) for i in (-6, 0, 6, 7, 30)]
+    made = select_as_of(rows, cuts, known_hot=([], True))
+    three = select_as_of(rows, cuts[:3], known_hot=([], True)).decisions
+    plan = three._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Generate", 1)[0].count("Window") == 0 and "Generate" in plan and len(re.findall(r"\bSort \[", plan)) == 1
+    hot = ([f"key-{n}" for n in range(40)], False)
+    chained = select_as_of(rows, cuts, known_hot=hot)
+    for name in ("decisions", "outcomes", "selected"):
+        one, other = getattr(made, name), getattr(chained, name).select(*getattr(made, name).columns)
+        assert one.exceptAll(other).count() == other.exceptAll(one).count() == 0 and one.count() > 0
+    for cut, when in cuts:
+        outcomes, decisions = expected(histories(40), when)
+        found = {(r["logical_key"], r["record_digest"]): (r["disposition"], tuple(r["reasons"]))
+                 for r in made.decisions.where(F.col("cutoff_id") == cut).collect()}
+        assert found == decisions
