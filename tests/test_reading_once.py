@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from knownby.operators.asof import select_as_of
 from knownby.operators.coverage import event_market_summary
-from knownby.operators.manifest import audit
+from knownby.operators.manifest import DatasetRef, audit, materialize, verify_replay
 from knownby.plans import kernel
 from knownby.sources.contract_json import strict_records
 from knownby.sources.snapshots import envelopes, outcome_rows
@@ -115,3 +115,23 @@ def test_cutoffs_are_judged_side_by_side_on_rows_that_are_sorted_once(spark):
         found = {(r["logical_key"], r["record_digest"]): (r["disposition"], tuple(r["reasons"]))
                  for r in made.decisions.where(F.col("cutoff_id") == cut).collect()}
         assert found == decisions
+
+
+def test_a_replay_of_several_codes_is_one_selection(spark, monkeypatch):
+    rows = spark.createDataFrame(histories(12), SCHEMA)
+    cuts, dataset = [("a", CUTOFF), ("b", CUTOFF + timedelta(hours=3))], DatasetRef("SNAPSHOT", "test", "1")
+    manifest = materialize(rows, cuts, "0" * 40, dataset).manifest
+    other = F.when(F.col("cutoff_id") == "b", "f" * 40).otherwise(F.col("code_version"))
+    sealed = spark.createDataFrame(manifest.collect(), manifest.schema)
+    ran = []
+
+    def counted(observations, cutoffs, *args, **named):
+        ran.append([c for c, _ in cutoffs])
+        return select_as_of(observations, cutoffs, *args, **named)
+
+    monkeypatch.setattr("knownby.operators.manifest.select_as_of", counted)
+    assert [r["cutoff_id"] for r in verify_replay(sealed.withColumn("code_version", other), rows).collect()] == ["b"]
+    assert ran == [["a", "b"]]
+    ran.clear()
+    twice = sealed.where("cutoff_id = 'a'").unionByName(sealed.where("cutoff_id = 'a'").withColumn("code_version", F.lit("f" * 40)))
+    assert verify_replay(twice, rows).count() == 2 and ran == [["a"], ["a"]]
